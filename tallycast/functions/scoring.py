@@ -258,15 +258,6 @@ def sample_quantile(xs: Column, q: float) -> Column:
     return _at(xs, (F.size(xs) - 1) * F.lit(q))
 
 
-def sample_mean(xs: Column) -> Column:
-    return F.aggregate(xs, _zero(), lambda acc, x: acc + x) / F.size(xs)
-
-
-def sample_sd(xs: Column, mean: Column) -> Column:
-    squares = F.aggregate(xs, _zero(), lambda acc, x: acc + (x - mean) * (x - mean))
-    return F.when(F.size(xs) > 1, F.sqrt(F.try_divide(squares, F.size(xs) - 1)))
-
-
 def sample_crps(xs: Column, y: Column) -> Column:
     """CRPS of the empirical distribution of a sorted array.
 
@@ -295,14 +286,21 @@ def kernel_bandwidth(size: Column, sd: Column, iqr: Column) -> Column:
 def sample_logs(xs: Column, y: Column, bandwidth: Column) -> Column:
     """Log score of a Gaussian kernel density.
 
-    The largest kernel is taken out of the sum first, so that a far observation does not underflow to log 0.
+    One pass that keeps the sum relative to the nearest member, so that a far observation does not underflow to
+    log 0. The bandwidth travels in the accumulator: named inside the fold it would be worked out per member.
     """
-    nearest = F.aggregate(xs, _inf(), lambda acc, x: F.least(acc, F.abs((y - x) / bandwidth)))
-    total = F.aggregate(
-        xs,
-        _zero(),
-        lambda acc, x: acc + F.exp((nearest * nearest - F.pow((y - x) / bandwidth, F.lit(2.0))) / 2),
-    )
-    return (
-        nearest * nearest / 2 - F.ln(total / F.size(xs)) + F.ln(bandwidth) + F.lit(0.5 * math.log(2 * math.pi))
-    )
+    start = F.struct(bandwidth.alias("h"), _inf().alias("near"), _zero().alias("total"))
+
+    def step(a: Column, x: Column) -> Column:
+        z = (y - x) / a["h"]
+        gap = (a["near"] - z * z) / 2
+        return F.struct(
+            a["h"].alias("h"),
+            F.least(a["near"], z * z).alias("near"),
+            F.when(gap > 0, a["total"] * F.exp(-gap) + 1).otherwise(a["total"] + F.exp(gap)).alias("total"),
+        )
+
+    def finish(a: Column) -> Column:
+        return a["near"] / 2 - F.ln(a["total"] / F.size(xs)) + F.ln(a["h"]) + F.lit(0.5 * math.log(2 * math.pi))
+
+    return F.when(bandwidth.isNotNull(), F.aggregate(xs, start, step, finish))

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycast.session import cut_lineage
+
 #: A group larger than this is never gathered into one array.
 GROUP_ROWS = 100_000
 #: At most this many groups are called large, so the list of them (8 bytes each) can always be broadcast.
@@ -28,60 +30,92 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def split_by_size(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary groups, and rows of groups too large to gather.
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[DataFrame, int, int]:
+    """Rows per key hash, with the largest size and the total.
 
-    Sizes are counted per key hash (a collision can only call a group larger than it is, and both ways of handling
-    a group are exact). A group is large above ``max(limit, total / MAX_LARGE)`` rows, hence there are at most
-    MAX_LARGE of them and the broadcast list stays under 4 MB whatever the input.
+    The two numbers are computed at once: whether a group is too large to gather decides the plan, and only the data
+    can tell. A hash collision can only call a group larger than it is.
     """
-    group = F.xxhash64(*keys)
-    sizes = df.groupBy(group.alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-    total = sizes.agg(F.sum("_size")).scalar()
-    large = F.broadcast(
-        sizes.where((F.col("_size") > limit) & (F.col("_size") > total / F.lit(float(MAX_LARGE)))).select("_g")
-    )
-    tagged = df.withColumn("_g", group)
-    return tagged.join(large, "_g", "left_anti").drop("_g"), tagged.join(large, "_g", "left_semi").drop("_g")
+    sizes = df.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
+    row = sizes.agg(F.max("_size"), F.sum("_size")).first()
+    return sizes, row[0] or 0, row[1] or 0
 
 
-def _blocked_counts(df: DataFrame, keys: list[str], value: str) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their multiplicity and block, and per block its size and the rows before it."""
-    counts = (
-        df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    )
+def split_by_size(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of groups too large to gather (None if there are none).
+
+    A group is large above ``max(limit, total / MAX_LARGE)`` rows, so there are at most MAX_LARGE of them and the
+    broadcast list stays under 4 MB whatever the input. Their rows are written to the shared folder, because ranking
+    reads them several times.
+    """
+    sizes, largest, total = group_sizes(df, keys)
+    bound = max(limit, total // MAX_LARGE)
+    if largest <= bound:
+        return df, None
+    large = F.broadcast(sizes.where(F.col("_size") > bound).select("_g"))
+    tagged = df.withColumn("_g", F.xxhash64(*keys))
+    rows = tagged.join(large, "_g", "left_semi").drop("_g")
+    return tagged.join(large, "_g", "left_anti").drop("_g"), cut_lineage(rows, "large-groups")
+
+
+def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _with_blocks(counts: DataFrame, keys: list[str], bound: int) -> DataFrame:
+    """Cut the values of large groups into ranges of about equal size (``_block``); other groups have one range."""
     sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
-    total = sizes.agg(F.sum("_d")).scalar()
-    large = F.broadcast(
-        sizes.where((F.col("_d") > RANK_ROWS) & (F.col("_d") > total / F.lit(float(MAX_BLOCKED)))).drop("_d")
-    )
+    large = F.broadcast(sizes.where(F.col("_d") > bound).drop("_d"))
     steps = [i / RANK_BLOCKS for i in range(1, RANK_BLOCKS)]
-    if keys:
-        cuts = (
-            null_safe_join(counts, large, keys, "left_semi")
-            .groupBy(*keys)
-            .agg(F.percentile_approx("_v", steps, 10_000).alias("_cuts"))
+    cuts = (
+        null_safe_join(counts, large, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx("_v", steps, 10_000).alias("_cuts"))
+    )
+    blocked = null_safe_join(counts, F.broadcast(cuts), keys, "left")
+    above = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    return blocked.withColumn("_block", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(above)).drop("_cuts")
+
+
+def value_ranks(
+    df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float] | None = None, limit: int = RANK_ROWS
+) -> DataFrame:
+    """Exact ranks: ``_v``, its multiplicity ``_n``, the rows ``_before`` it and the group size ``_m``.
+
+    Equal values are counted before anything is shuffled by group. A group with more than ``limit`` distinct values is
+    cut into value ranges that are ranked side by side; with ``quantiles`` only the ranges that hold a wanted position
+    are sorted.
+    """
+    counts = _value_counts(df, keys, value)
+    _, largest, total = group_sizes(counts, keys or [F.lit(0)])
+    bound = max(limit, total // MAX_BLOCKED)
+    group = Window.partitionBy(*keys)
+    running = Window.unboundedPreceding, Window.currentRow
+    if largest <= bound:
+        return counts.withColumns(
+            {
+                "_m": F.sum("_n").over(group),
+                "_before": F.sum("_n").over(group.orderBy("_v").rowsBetween(*running)) - F.col("_n"),
+            }
         )
-        blocked = null_safe_join(counts, F.broadcast(cuts), keys, "left")
-    else:
-        cuts = counts.agg(F.percentile_approx("_v", steps, 10_000)).scalar()
-        blocked = counts.withColumn("_cuts", F.when(sizes.agg(F.max("_d")).scalar() > RANK_ROWS, cuts))
-    block = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))), F.lit(0))
-    blocked = blocked.withColumn("_block", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(block)).drop("_cuts")
+    blocked = cut_lineage(_with_blocks(cut_lineage(counts, "value-counts"), keys, bound), "value-blocks")
     totals = blocked.groupBy(*keys, "_block").agg(F.sum("_n").alias("_bn"))
-    group = Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy(F.lit(0))
     totals = totals.withColumns(
         {
             "_m": F.sum("_bn").over(group),
-            "_skip": F.sum("_bn").over(group.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0))
-            - F.col("_bn"),
+            "_skip": F.sum("_bn").over(group.orderBy("_block").rowsBetween(*running)) - F.col("_bn"),
         }
     )
-    return blocked, totals
-
-
-def _ranked(blocked: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
-    inside = Window.partitionBy(*keys, "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    if quantiles:
+        wanted = F.lit(False)
+        for q in quantiles.values():
+            position = (F.col("_m") - 1) * F.lit(q)
+            wanted = wanted | (
+                (F.floor(position) < F.col("_skip") + F.col("_bn")) & (F.ceil(position) >= F.col("_skip"))
+            )
+        totals = totals.where(wanted)
+    inside = Window.partitionBy(*keys, "_block").orderBy("_v").rowsBetween(*running)
     return (
         null_safe_join(blocked, totals, [*keys, "_block"])
         .withColumn("_before", F.col("_skip") + F.sum("_n").over(inside) - F.col("_n"))
@@ -89,16 +123,6 @@ def _ranked(blocked: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame
     )
 
 
-def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Exact ranks: ``_v``, its multiplicity ``_n``, the rows ``_before`` it and the group size ``_m``.
-
-    Equal values are counted before anything is shuffled by group, and a large group is cut into value ranges that
-    are ranked side by side.
-    """
-    blocked, totals = _blocked_counts(df, keys, value)
-    return _ranked(blocked, totals, keys)
-
-
 def quantile_from_ranks(ranks: DataFrame, keys: list[str], quantiles: Mapping[str, float]) -> DataFrame:
     """Interpolated quantiles from (partial) ranks that contain the needed positions."""
     size = F.col("_m") - 1
@@ -120,19 +144,14 @@ def quantile_from_ranks(ranks: DataFrame, keys: list[str], quantiles: Mapping[st
     return rows.select(*keys, *result)
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float], limit: int = RANK_ROWS
+) -> DataFrame:
     """Exact interpolated quantiles per group, for groups of any size.
 
-    The built-in exact percentile keeps every distinct value of a group in one task's memory. Here only the value
-    ranges that hold a wanted position are sorted.
+    The built-in exact percentile keeps every distinct value of a group in one task's memory.
     """
-    blocked, totals = _blocked_counts(df, keys, value)
-    size = F.col("_m") - 1
-    wanted = F.lit(False)
-    for q in quantiles.values():
-        first, last = F.floor(size * F.lit(q)), F.ceil(size * F.lit(q))
-        wanted = wanted | ((first < F.col("_skip") + F.col("_bn")) & (last >= F.col("_skip")))
-    return quantile_from_ranks(_ranked(blocked, totals.where(wanted), keys), keys, quantiles)
+    return quantile_from_ranks(value_ranks(df, keys, value, quantiles, limit), keys, quantiles)
 
 
 def keep_extreme(df: DataFrame, keys: list[str], order: list[Column], *, largest: bool = True) -> DataFrame:

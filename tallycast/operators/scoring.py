@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallycast.functions import scoring as rules
 from tallycast.functions.timing import horizon_days_calendar
 from tallycast.operators.ranks import GROUP_ROWS, null_safe_join, quantile_from_ranks, split_by_size, value_ranks
+from tallycast.session import cut_lineage
 from tallycast.schema import (
     FAMILY_PARAMETERS,
     OBS_KEY,
@@ -87,15 +88,18 @@ def scoring_groups(candidates: DataFrame) -> DataFrame:
 
 def _score_gathered(members: DataFrame, keys: list[str], summaries: bool, scored: bool) -> DataFrame:
     """One row per forecast from its members gathered in an array; only for groups of bounded size."""
-    gathered = members.groupBy(*keys).agg(F.array_sort(F.collect_list("prediction")).alias("_x"))
+    rows = members.groupBy(*keys).agg(
+        F.array_sort(F.collect_list("prediction")).alias("_x"),
+        F.avg("prediction").alias("_mean"),
+        F.stddev_samp("prediction").alias("_sd"),
+    )
     x = F.col("_x")
-    rows = gathered.withColumn("_mean", rules.sample_mean(x)).withColumn("_sd", rules.sample_sd(x, F.col("_mean")))
     out: dict[str, Column] = {}
     if scored:
         y = F.col("observation")
         iqr = rules.sample_quantile(x, 0.75) - rules.sample_quantile(x, 0.25)
-        rows = rows.withColumn("_h", rules.kernel_bandwidth(F.size(x), F.col("_sd"), iqr))
-        out |= {"crps": rules.sample_crps(x, y), "logs": rules.sample_logs(x, y, F.col("_h"))}
+        width = rules.kernel_bandwidth(F.size(x), F.col("_sd"), iqr)
+        out |= {"crps": rules.sample_crps(x, y), "logs": rules.sample_logs(x, y, width)}
     if summaries:
         out |= {"mean": F.col("_mean"), "median": rules.sample_quantile(x, 0.5), "sd": F.col("_sd")}
         out |= {name: rules.sample_quantile(x, q) for name, q in rules.LIMITS.items()}
@@ -104,11 +108,11 @@ def _score_gathered(members: DataFrame, keys: list[str], summaries: bool, scored
 
 def _score_ranked(members: DataFrame, keys: list[str], summaries: bool, scored: bool) -> DataFrame:
     """The same from distributed ranks, for forecasts with more members than one task should hold."""
-    ranks = value_ranks(members, keys, "prediction")
+    ranks = cut_lineage(value_ranks(members, keys, "prediction"), "member-ranks")
     v, n = F.col("_v"), F.col("_n")
     quantiles = {"median": 0.5, **rules.LIMITS, "_q25": 0.25, "_q75": 0.75}
     base = members.groupBy(*keys).agg(F.avg("prediction").alias("mean"), F.stddev_samp("prediction").alias("sd"))
-    base = null_safe_join(base, quantile_from_ranks(ranks, keys, quantiles), keys)
+    base = cut_lineage(null_safe_join(base, quantile_from_ranks(ranks, keys, quantiles), keys), "member-stats")
     out = [*keys]
     if scored:
         y = F.col("observation")
@@ -154,9 +158,10 @@ def _score_ranked(members: DataFrame, keys: list[str], summaries: bool, scored:
 def _samples(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int) -> DataFrame:
     members = rows.where(F.col("prediction").isNotNull()).select(*keys, "prediction")
     ordinary, large = split_by_size(members, keys, limit)
-    return _score_gathered(ordinary, keys, summaries, scored).unionByName(
-        _score_ranked(large, keys, summaries, scored)
-    )
+    result = _score_gathered(ordinary, keys, summaries, scored)
+    if large is None:
+        return result
+    return result.unionByName(_score_ranked(large, keys, summaries, scored))
 
 
 # --- parametric families --------------------------------------------------------------------------------------

@@ -72,11 +72,11 @@ def _forecasts(d: Dialect) -> str:
 SELECT project_id, concat('m', CAST(m AS {d.text})) AS model_id, site_id, datetime,
        CAST(datetime - INTERVAL 1 DAY * h AS {d.ts}) AS reference_datetime, duration, variable,
        CASE WHEN m = 2 THEN 'ensemble' ELSE 'sample' END AS family, CAST(e AS {d.text}) AS parameter,
-       CAST(50 + (m - 1) * 5 + (e - 4) * (1 + h % 5)
+       CAST(50 + (m - 1) * 5 + (e - 3) * (1 + h % 5)
             + ((extract(day FROM datetime) * 3 + e * 5 + m) % 7 - 3) * 2 AS DOUBLE) AS prediction,
        CAST(datetime - INTERVAL 1 DAY * (h - 1) AS {d.ts}) AS pub_datetime
-FROM (SELECT c.*, {d.each('e', 1, 8)} FROM (
-        SELECT b.*, {d.each_of('h', [1, 4, 35, 36])} FROM (
+FROM (SELECT c.*, {d.each('e', 1, 5)} FROM (
+        SELECT b.*, {d.each_of('h', [1, 35, 36])} FROM (
           SELECT t.*, {d.each('m', 0, 2)} FROM targets t) b) c) x"""
 
 

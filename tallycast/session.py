@@ -25,6 +25,7 @@ def local_session(cores: int | str = 8, app: str = "tallycast", **extra: str) ->
     settings = {
         **DEFAULTS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(cores),
         "spark.driver.memory": "12g",
         **extra,
