@@ -1,6 +1,7 @@
 """Imports every module that registers queries."""
 
 from tallycast.plans import (  # noqa: F401
+    board_queries,
     scoring_queries,
 )
 from tallycast.plans.registry import ORACLES, QUERIES  # noqa: F401
