@@ -2,6 +2,9 @@
 
 from tallycast.plans import (  # noqa: F401
     board_queries,
+    catalog_queries,
     scoring_queries,
+    submission_queries,
+    target_queries,
 )
 from tallycast.plans.registry import ORACLES, QUERIES  # noqa: F401

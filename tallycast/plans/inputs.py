@@ -224,7 +224,7 @@ SELECT concat('L', lpad(CAST(user_id AS {d.text}), 6, '0')) AS siteName, termNam
        CASE WHEN event_id % 5 = 0 THEN '001' ELSE '030' END AS temporalIndex,
        CAST(ts AS {d.ts}) AS startDate,
        CASE WHEN termName IN ('dissolvedOxygen', 'chlorophyll') THEN value
-            WHEN termName = 'waterTemp' AND event_id % 3 > 0 THEN value * 0.125
+            WHEN termName = 'waterTemp' AND event_id % 3 > 0 THEN floor(value * 8) / CAST(64 AS DOUBLE)
             WHEN termName = 'sensorDepth' THEN (event_id % 15) * 0.125 END AS doubleValue,
        CAST(CASE WHEN termName = 'oxygenQF' THEN CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END
                  WHEN termName = 'tempQF' THEN CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END

@@ -44,14 +44,14 @@ SELECT {GROUP}, observation, count(*) AS m, avg(prediction) AS mean, stddev_samp
 FROM (SELECT *, row_number() OVER (PARTITION BY {GROUP} ORDER BY prediction) AS i,
              count(*) OVER (PARTITION BY {GROUP}) AS m
       FROM (SELECT {KEYS}, parameter, prediction, observation FROM {{source}}) k) r
-GROUP BY ALL"""
+GROUP BY {GROUP}, observation"""
 
 STATS = "mean, median, sd, quantile97_5, quantile02_5, quantile90, quantile10"
 
 
 def sample_scores(source: str, columns: str) -> str:
     """Sample scores by the quantile form of the CRPS and a kernel density written out member by member."""
-    parts = SAMPLE_PARTS.format(source=source).replace("GROUP BY ALL", f"GROUP BY {GROUP}, observation")
+    parts = SAMPLE_PARTS.format(source=source)
     return f"""
 SELECT {columns} FROM (
   SELECT *, near / 2 - ln(list_sum(list_transform(z2, lambda v: exp((near - v) / 2))) / (m * h * sqrt(2 * pi()))) AS logs
