@@ -3,6 +3,7 @@
 from tallycast.plans import (  # noqa: F401
     board_queries,
     catalog_queries,
+    driver_queries,
     scoring_queries,
     submission_queries,
     target_queries,
