@@ -1,6 +1,7 @@
 """Imports every module that registers queries."""
 
 from tallycast.plans import (  # noqa: F401
+    baseline_queries,
     board_queries,
     catalog_queries,
     driver_queries,

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tallycast.functions.timing import day, ntz
+from tallycast.functions.timing import day, floor_to, ntz
 from tallycast.operators import drivers as ops
 from tallycast.operators.series import interpolate_linear
 from tallycast.plans.registry import query
@@ -195,16 +195,24 @@ def _record(source: str) -> str:
     )
 
 
+_DAILY = "site_id, parameter, variable, CAST(date_trunc('day', datetime) AS TIMESTAMP) AS date"
+
+
 @query(
     "stage3_backfill",
     "pseudo_raw sites",
     f"""WITH todo AS (SELECT * FROM ({_REPAIRED}) p WHERE site_id NOT IN (SELECT field_site_id FROM sites WHERE latitude < 30))
-        {_record('todo')}""",
-    "prediction",
+        SELECT {_DAILY}, count(*) AS n, avg(prediction) AS prediction, max(prediction) AS highest
+        FROM ({_record('todo')}) r GROUP BY site_id, parameter, variable, date_trunc('day', datetime)""",
+    "prediction highest",
 )
 def _(inp):
     done = inp.sites.where(F.col("latitude") < 30).select(F.col("field_site_id").alias("site_id"))
-    return ops.stage3_backfill(inp.pseudo_raw, inp.sites, done)
+    hourly = ops.stage3_backfill(inp.pseudo_raw, inp.sites, done)
+    by = ["site_id", "parameter", "variable", floor_to("day", "datetime").alias("date")]
+    return hourly.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("prediction"), F.max("prediction").alias("highest")
+    )
 
 
 _HOURLY = """SELECT site_id, family, CAST(substring(ensemble, 4, 2) AS INTEGER) AS parameter, variable, datetime, prediction
