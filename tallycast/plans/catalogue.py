@@ -7,6 +7,7 @@ from tallycast.plans import (  # noqa: F401
     driver_queries,
     scoring_queries,
     submission_queries,
+    streaming_queries,
     target_queries,
 )
 from tallycast.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.schema import BUNDLE_PARTITIONS, FORECAST_PARTITIONS, SITES, SUBMISSION, TARGETS, present
+from tallycast.schema import BUNDLE_PARTITIONS, FORECAST_PARTITIONS, SITES, TARGETS, present
 
 MISSING = "NA"
 
@@ -37,13 +37,11 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
 def read_submissions(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Submitted files as text, with the name of the file each row came from.
 
-    Columns are taken by name, so files may order them as they like or leave some out; each distinct header is read
-    with its own schema.
+    Columns are found by the header's names; a column the files do not have is absent from the result, so that
+    validation can report it. Files read together share one header.
     """
     rows = spark.read.option("header", True).option("nullValue", MISSING).option("inferSchema", False).csv(paths)
-    known = [
-        (F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None)).cast("string").alias(f.name) for f in SUBMISSION
-    ]
+    known = [F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns]
     return rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), *known)
 
 
