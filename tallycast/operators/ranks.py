@@ -30,25 +30,28 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[DataFrame, int, int]:
-    """Rows per key hash, with the largest size and the total.
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """The largest group's size and the total.
 
-    The two numbers are computed at once: whether a group is too large to gather decides the plan, and only the data
-    can tell. A hash collision can only call a group larger than it is.
+    Measured at once: whether a group is too large to gather decides the plan, and only the data can tell. Groups are
+    counted per key hash; a collision can only call a group larger than it is.
     """
     sizes = df.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
     row = sizes.agg(F.max("_size"), F.sum("_size")).first()
-    return sizes, row[0] or 0, row[1] or 0
+    return row[0] or 0, row[1] or 0
 
 
-def split_by_size(df: DataFrame, keys: list[str], limit: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame | None]:
+def split_by_size(
+    df: DataFrame, keys: list[str], limit: int = GROUP_ROWS, known: tuple[int, int] | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary groups, and rows of groups too large to gather (None if there are none).
 
-    A group is large above ``max(limit, total / MAX_LARGE)`` rows, so there are at most MAX_LARGE of them and the
-    broadcast list stays under 4 MB whatever the input. Their rows are written to the shared folder, because ranking
-    reads them several times.
+    ``known`` is the (largest, total) size if the caller has measured it. A group is large above
+    ``max(limit, total / MAX_LARGE)`` rows, so there are at most MAX_LARGE of them and the broadcast list stays under
+    4 MB whatever the input. Their rows are written to the shared folder, because ranking reads them several times.
     """
-    sizes, largest, total = group_sizes(df, keys)
+    sizes = df.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
+    largest, total = known or group_sizes(df, keys)
     bound = max(limit, total // MAX_LARGE)
     if largest <= bound:
         return df, None
@@ -88,7 +91,7 @@ def value_ranks(
     are sorted.
     """
     counts = _value_counts(df, keys, value)
-    _, largest, total = group_sizes(counts, keys or [F.lit(0)])
+    largest, total = group_sizes(counts, keys or [F.lit(0)])
     bound = max(limit, total // MAX_BLOCKED)
     group = Window.partitionBy(*keys)
     running = Window.unboundedPreceding, Window.currentRow

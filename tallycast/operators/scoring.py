@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,9 +156,11 @@ def _score_ranked(members: DataFrame, keys: list[str], summaries: bool, scored:
     return base.select(*out)
 
 
-def _samples(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int) -> DataFrame:
-    members = rows.where(F.col("prediction").isNotNull()).select(*keys, "prediction")
-    ordinary, large = split_by_size(members, keys, limit)
+def _samples(
+    rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int, known: tuple[int, int] | None = None
+) -> DataFrame:
+    members = rows.where((F.col("family") == "sample") & F.col("prediction").isNotNull()).select(*keys, "prediction")
+    ordinary, large = split_by_size(members, keys, limit, known)
     result = _score_gathered(ordinary, keys, summaries, scored)
     if large is None:
         return result
@@ -192,13 +195,27 @@ def _parametric(rows: DataFrame, keys: list[str], families: list[str], summaries
     return wide.select(*keys, *[c.alias(n) for n, c in out.items()])
 
 
+def _families(rows: DataFrame, keys: list[str]) -> dict[str, tuple[int, int]]:
+    """The known families in the table, each with its largest group and its number of rows."""
+    known = rows.where(F.col("family").isin("sample", *FAMILY_PARAMETERS))
+    sizes = known.groupBy("family", F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
+    found = sizes.groupBy("family").agg(F.max("_size").alias("largest"), F.sum("_size").alias("total"))
+    # one row per known family
+    return {r["family"]: (r["largest"], r["total"]) for r in found.collect()}
+
+
 def _by_family(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int) -> DataFrame:
+    """One branch per kind of family that occurs, so the table is not read again for families it does not have."""
     named = rows.withColumn("family", sample_family())
-    result = _samples(named.where(F.col("family") == "sample"), keys, summaries, scored, limit)
-    result = result.unionByName(_parametric(named, keys, ARITHMETIC, summaries, scored))
-    for family in [f for f in FAMILY_PARAMETERS if f not in ARITHMETIC]:
-        result = result.unionByName(_parametric(named, keys, [family], summaries, scored))
-    return result
+    found = _families(named, keys)
+    parts = []
+    if "sample" in found or not found:
+        parts.append(_samples(named, keys, summaries, scored, limit, found.get("sample")))
+    simple = [f for f in ARITHMETIC if f in found]
+    for families in [simple] + [[f] for f in FAMILY_PARAMETERS if f in found and f not in ARITHMETIC]:
+        if families:
+            parts.append(_parametric(named, keys, families, summaries, scored))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def score_joined(joined: DataFrame, include_summaries: bool = True, limit: int = GROUP_ROWS) -> DataFrame:
@@ -219,7 +236,7 @@ def score_family(joined: DataFrame, family: str, rule: str) -> DataFrame:
     """A single rule (``crps`` or ``logs``) for a single family."""
     keys = [*present(SCORE_GROUP, joined), "observation"]
     if family == "sample":
-        rows = joined.withColumn("family", sample_family()).where(F.col("family") == "sample")
+        rows = joined.withColumn("family", sample_family())
         return _samples(rows, keys, False, True, GROUP_ROWS).select(*keys, rule)
     return _parametric(joined, keys, [family], False, True).select(*keys, rule)
 

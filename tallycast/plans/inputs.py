@@ -38,6 +38,11 @@ class Dialect:
         """A date as text."""
         return f"date_format({expr}, 'yyyy-MM-dd')" if self.spark else f"strftime({expr}, '%Y-%m-%d')"
 
+    @property
+    def spread(self) -> str:
+        """Spark: deal small seed rows out to the tasks before they are multiplied."""
+        return "/*+ REPARTITION(16) */ " if self.spark else ""
+
     def date(self, expr: str) -> str:
         return f"CAST({expr} AS DATE)"
 
@@ -77,7 +82,7 @@ SELECT project_id, concat('m', CAST(m AS {d.text})) AS model_id, site_id, dateti
        CAST(datetime - INTERVAL 1 DAY * (h - 1) AS {d.ts}) AS pub_datetime
 FROM (SELECT c.*, {d.each('e', 1, 5)} FROM (
         SELECT b.*, {d.each_of('h', [1, 35, 36])} FROM (
-          SELECT t.*, {d.each('m', 0, 2)} FROM targets t) b) c) x"""
+          SELECT t.*, {d.each('m', 0, 2)} FROM (SELECT {d.spread}* FROM targets) t) b) c) x"""
 
 
 def _joined(d: Dialect) -> str:
@@ -120,7 +125,7 @@ FROM (SELECT b.*, {d.each('k', 1, 2)} FROM (
         SELECT t.*, CAST(substring(site_id, 2) AS INT) AS s, CAST(extract(day FROM datetime) AS INT) AS dd,
                {d.each_of('family', ['normal', 'lognormal', 'logistic', 'exponential', 'uniform', 'bernoulli',
                                      'poisson', 'gamma', 'beta'])}
-        FROM targets t WHERE observation IS NOT NULL) b) x"""
+        FROM (SELECT {d.spread}* FROM targets) t WHERE observation IS NOT NULL) b) x"""
 
 
 def _scores(d: Dialect) -> str:
@@ -136,7 +141,8 @@ SELECT project_id, concat('m', CAST(m AS {d.text})) AS model_id, site_id, dateti
        CAST(center + 8 AS DOUBLE) AS quantile90, CAST(center - 8 AS DOUBLE) AS quantile10
 FROM (SELECT c.*, 50 + (m - 1) * 5 + extract(day FROM datetime) % 7 AS center FROM (
         SELECT b.*, {d.each_of('h', [1, 4, 35, 36])} FROM (
-          SELECT t.*, {d.each('m', 0, 2)} FROM targets t WHERE observation IS NOT NULL) b) c) x"""
+          SELECT t.*, {d.each('m', 0, 2)} FROM (SELECT {d.spread}* FROM targets) t
+          WHERE observation IS NOT NULL) b) c) x"""
 
 
 def _scores_old(d: Dialect) -> str:
@@ -279,7 +285,8 @@ FROM (SELECT t3.*, {d.each_of('variable', ['PRES', 'RH', 'TMP', 'UGRD', 'VGRD',
             SELECT CASE WHEN user_id % 2 = 0 THEN concat('S', lpad(CAST(user_id AS {d.text}), 6, '0'))
                         ELSE lpad(CAST(user_id AS {d.text}), 6, '0') END AS site_id,
                    user_id AS s, 'ensemble' AS family, 'gep01' AS ensemble, day AS reference_datetime
-            FROM (SELECT DISTINCT user_id, CAST(date_trunc('day', ts) AS {d.ts}) AS day FROM events) q) t1) t2) t3) x"""
+            FROM (SELECT {d.spread}* FROM (
+              SELECT DISTINCT user_id, CAST(date_trunc('day', ts) AS {d.ts}) AS day FROM events) p) q) t1) t2) t3) x"""
 
 
 def _history(d: Dialect) -> str:
@@ -317,7 +324,8 @@ SELECT concat(CASE WHEN u % 3 = 0 THEN 'aquatics' WHEN u % 3 = 1 THEN 'ticks' EL
        CASE WHEN e = 2 AND u % 5 = 1 THEN 'NA' ELSE CAST(CAST(10 + k * 2 + e AS DOUBLE) AS {d.text}) END AS prediction
 FROM (SELECT b.*, {d.each('e', 1, 3)} FROM (
         SELECT a.*, {d.each('k', 0, 4)} FROM (
-          SELECT DISTINCT user_id AS u, event_type, CAST(date_trunc('day', ts) AS {d.ts}) AS ref FROM events) a) b) x"""
+          SELECT {d.spread}* FROM (
+            SELECT DISTINCT user_id AS u, event_type, CAST(date_trunc('day', ts) AS {d.ts}) AS ref FROM events) q) a) b) x"""
 
 
 def _allowed(d: Dialect) -> str:
