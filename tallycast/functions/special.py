@@ -7,12 +7,17 @@ works on whole arrays, so a batch costs a fixed number of vector operations.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# the functions below travel with the task, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TERMS = 300
 _EPS = 1e-15
 _TINY = 1e-300

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +16,9 @@ from tallycast.operators.ranks import exact_quantiles
 from tallycast.operators.series import interpolate_linear, month_block, with_position, with_previous
 from tallycast.schema import SERIES_KEY
 
+# the fitting functions travel with the task, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HORIZON_DAYS = 35
 
 

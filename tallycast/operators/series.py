@@ -19,11 +19,17 @@ def _inside(keys: list[str], order: str):
     return Window.partitionBy(*keys, "_block").orderBy(order)
 
 
+def _inside_backwards(keys: list[str], order: str):
+    """What follows a row is read from the end: a frame that grows costs one step per row, one that shrinks many."""
+    return Window.partitionBy(*keys, "_block").orderBy(F.desc(order))
+
+
 def _blocks(keys: list[str]):
     ordered = Window.partitionBy(*keys).orderBy("_block")
+    backwards = Window.partitionBy(*keys).orderBy(F.desc("_block"))
     return (
         ordered.rowsBetween(Window.unboundedPreceding, -1),
-        ordered.rowsBetween(1, Window.unboundedFollowing),
+        backwards.rowsBetween(Window.unboundedPreceding, -1),
         ordered,
     )
 
@@ -44,7 +50,8 @@ def with_position(df: DataFrame, keys: list[str], order: str, block: Column) ->
 def with_neighbours(df: DataFrame, keys: list[str], order: str, value: str, block: Column) -> DataFrame:
     """Adds ``_pos``, and the nearest known value at or before (``_prev``) and at or after (``_next``) each row.
 
-    Both are structs (pos, value), NULL when there is none.
+    Both are structs (pos, value), NULL when there is none. The result stays partitioned by the keys and ``_block``, so
+    a later window over these and something finer needs no shuffle.
     """
     inside = _inside(keys, order)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("pos"), F.col(value).alias("value")))
@@ -56,7 +63,9 @@ def with_neighbours(df: DataFrame, keys: list[str], order: str, value: str, bloc
     local = local.withColumns(
         {
             "_prev": F.last("_known", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-            "_next": F.first("_known", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing)),
+            "_next": F.last("_known", ignorenulls=True).over(
+                _inside_backwards(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+            ),
         }
     )
     summary = local.groupBy(*keys, "_block").agg(
@@ -81,11 +90,12 @@ def with_neighbours(df: DataFrame, keys: list[str], order: str, value: str, bloc
         "_block",
         "_skip",
         F.last("_last", ignorenulls=True).over(earlier).alias("_carry_prev"),
-        F.first("_first", ignorenulls=True).over(later).alias("_carry_next"),
+        F.last("_first", ignorenulls=True).over(later).alias("_carry_next"),
     )
     joined = local.join(summary, [*keys, "_block"])
     return joined.select(
         *df.columns,
+        "_block",
         (F.col("_pos") + F.col("_skip")).alias("_pos"),
         F.coalesce(shifted("_prev", F.col("_skip")), F.col("_carry_prev")).alias("_prev"),
         F.coalesce(shifted("_next", F.col("_skip")), F.col("_carry_next")).alias("_next"),
@@ -108,23 +118,31 @@ def with_previous(df: DataFrame, keys: list[str], order: str, value: str, block:
     )
 
 
-def interpolate_linear(
-    df: DataFrame, keys: list[str], order: str, value: str, block: Column | None = None
-) -> DataFrame:
-    """Fill gaps linearly by row position; the ends hold the nearest known value."""
-    rows = with_neighbours(df, keys, order, value, month_block(order) if block is None else block)
+def linear_value(value: str) -> Column:
+    """The value itself, or the line between its known neighbours; beyond the last one it is held."""
     before, after = F.col("_prev"), F.col("_next")
     slope = F.try_divide(after["value"] - before["value"], (after["pos"] - before["pos"]).cast("double"))
-    filled = (
+    return (
         F.when(F.col(value).isNotNull(), F.col(value))
         .when(before.isNull(), after["value"])
         .when(after.isNull(), before["value"])
         .otherwise(before["value"] + slope * (F.col("_pos") - before["pos"]))
     )
-    return rows.withColumn(value, filled).select(*df.columns)
+
+
+def next_value(value: str) -> Column:
+    return F.coalesce(F.col(value), F.col("_next.value"))
+
+
+def interpolate_linear(
+    df: DataFrame, keys: list[str], order: str, value: str, block: Column | None = None
+) -> DataFrame:
+    """Fill gaps linearly by row position; the ends hold the nearest known value."""
+    rows = with_neighbours(df, keys, order, value, month_block(order) if block is None else block)
+    return rows.withColumn(value, linear_value(value)).select(*df.columns)
 
 
 def fill_from_next(df: DataFrame, keys: list[str], order: str, value: str, block: Column | None = None) -> DataFrame:
     """Fill each gap with the next known value; a gap at the end stays."""
     rows = with_neighbours(df, keys, order, value, month_block(order) if block is None else block)
-    return rows.withColumn(value, F.coalesce(F.col(value), F.col("_next.value"))).select(*df.columns)
+    return rows.withColumn(value, next_value(value)).select(*df.columns)

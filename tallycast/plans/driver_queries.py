@@ -173,8 +173,7 @@ def _(inp):
     ),
 )
 def _(inp):
-    states = inp.drivers_raw.where(F.col("variable").isin(ops.STATES))
-    return ops.rename_drivers(states, inp.drivers_raw.where(F.col("variable").isin(ops.FLUXES)), legacy=True)
+    return ops.rename_drivers(inp.drivers_raw, legacy=True)
 
 
 @query(
