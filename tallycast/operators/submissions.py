@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallycast.functions.timing import horizon_days_exact, ntz
 from tallycast.operators.scoring import MAX_HORIZON_DAYS, sample_family
-from tallycast.schema import BUNDLE_PARTITIONS, SUBMISSION_COLUMNS, present
+from tallycast.schema import SUBMISSION_COLUMNS, present
 
 # Accepted file endings, and the duration implied by a theme.
 EXTENSIONS = ["csv", "csv.gz", "nc"]
@@ -239,7 +239,3 @@ def most_recent_by_model(bundle: DataFrame) -> DataFrame:
 
 def bundle_counts(bundle: DataFrame) -> DataFrame:
     return bundle.agg(F.count(F.lit(1)).alias("n_rows"), F.max("reference_datetime").alias("most_recent"))
-
-
-def bundle_keys(bundle: DataFrame) -> list[str]:
-    return present(BUNDLE_PARTITIONS, bundle)
