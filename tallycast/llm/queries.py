@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import exact, mixing, sharding
+from tallycast.llm import bpe, exact, mixing, secret_scan, sharding, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +45,17 @@ def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Longer documents do not fit a training window.
+TOKEN_LIMIT = 4096
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    counts = tokencount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 @query
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed from their sources by weight."""
@@ -62,3 +74,32 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size, sha256(t) AS text_sha256 FROM n GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n JOIN g USING (t)
 """
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and the ids decoded again."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    encoded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
+    both = bpe.decode(encoded, vocabulary)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text."""
+    found = secret_scan.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+    counts = [F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in secret_scan.BASE]
+    return found.select(
+        "row.doc_id",
+        *counts,
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
