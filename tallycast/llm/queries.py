@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import bpe, exact, mixing, secret_scan, sharding, tokencount
+from tallycast.llm import bpe, embeddings, exact, minhash, mixing, secret_scan, sharding, tokencount
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,19 @@ def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share 85 % of their three-word shingles."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return minhash.near_groups(docs, width=3, percent=85).drop("text_hash")
+
+
+@query
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label at a cosine of 0.98 or more."""
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 #: Longer documents do not fit a training window.
 TOKEN_LIMIT = 4096
 
