@@ -1,26 +1,61 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+A stage works on all rows its predecessor kept and returns the columns of documents; the last returns token ids as
+digests. Rows are removed for toxicity, exact copies and near copies; the mix repeats rows of sources that get more than
+they have.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallycast.llm import exact, mixing
+from tallycast.llm import bpe, exact, minhash, mixing, toxicity
 from tallycast.session import cut_lineage
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that score as toxic go."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.drop_toxic(docs, model)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id stays."""
     return exact.drop_copies(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts linked by 80 % of their five-word shingles, the document with the smallest id stays."""
+    return minhash.drop_near_copies(docs)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target shares; a document that several epochs take comes several times."""
     return mixing.mixed_rows(docs)
 
 
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids, decoded again to confirm them: one row for each row of the mix."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    texts = docs.select("doc_id", "source", "text")
+    encoded = bpe.encode(texts, vocabulary, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        "source",
+        "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"),
+    )
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("exact dedup", exact_stage),
+    ("near dedup", near_stage),
     ("mix", mix_stage),
+    ("encode", encode_stage),
 ]
 
 #: Near duplicates, a trained classifier and byte-pair merges are beyond SQL.
