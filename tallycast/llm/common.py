@@ -44,20 +44,22 @@ def running_before(amount: str, group: list[str], bucket: str, order: list) -> C
     return F.coalesce(F.sum(amount).over(ahead), F.lit(0)).cast("long")
 
 
-def numbered(rows: DataFrame, order: str, purpose: str) -> DataFrame:
-    """``rows`` with ``position``, 0 upwards by ``order``, without bringing all rows into one task.
+def numbered(rows: DataFrame, order: str | list[str], purpose: str, amount: Column | None = None) -> DataFrame:
+    """``rows`` with ``position``: how many rows come before by ``order``, without bringing all rows into one task.
 
-    Rows are sorted by range; each range numbers its own and adds the sizes of the ranges ahead. The ranges are
-    stored, since another run of the same sort may cut them elsewhere.
+    With ``amount`` the sum of that over the rows before. Rows are sorted by range; each range sums up its own and adds
+    the sums of the ranges ahead. The ranges are stored, since another run of the same sort may cut them elsewhere.
     """
-    ranges = cut_lineage(rows.repartitionByRange(F.col(order)).withColumn("range_id", F.spark_partition_id()), purpose)
-    sizes = ranges.groupBy("range_id").agg(F.count(F.lit(1)).alias("in_range"))
+    order = [order] if isinstance(order, str) else order
+    rows = rows.withColumn("amount_here", F.lit(1) if amount is None else amount)
+    ranges = cut_lineage(rows.repartitionByRange(*order).withColumn("range_id", F.spark_partition_id()), purpose)
+    sizes = ranges.groupBy("range_id").agg(F.sum("amount_here").alias("in_range"))
     ahead = Window.orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("range_id", F.coalesce(F.sum("in_range").over(ahead), F.lit(0)).alias("range_start"))
-    within = Window.partitionBy("range_id").orderBy(order)
+    within = Window.partitionBy("range_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranges.withColumn("in_order", F.row_number().over(within) - 1)
+        ranges.withColumn("in_order", F.coalesce(F.sum("amount_here").over(within), F.lit(0)))
         .join(starts, "range_id")
         .withColumn("position", (F.col("range_start") + F.col("in_order")).cast("long"))
-        .drop("range_id", "in_order", "range_start")
+        .drop("range_id", "in_order", "range_start", "amount_here")
     )

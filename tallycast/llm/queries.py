@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import bpe, embeddings, exact, minhash, mixing, secret_scan, sharding, tokencount, toxicity
+from tallycast.llm import bpe, embeddings, exact, lines, minhash, mixing, secret_scan, sharding, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,20 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later copies of line runs deleted: three lines, or fewer with 50 words."""
+    found = lines.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "row.doc_id",
+        "n_lines",
+        F.size("deleted").cast("long").alias("n_deleted"),
+        F.array_join("deleted", ",").alias("deleted"),
+        "longest_run",
+        F.sha2(F.coalesce("left_text", F.lit("")).cast("binary"), 256).alias("left_sha256"),
+    )
+
+
 #: Longer documents do not fit a training window.
 TOKEN_LIMIT = 4096
 
