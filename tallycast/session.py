@@ -35,18 +35,34 @@ def local_session(cores: int | str = 8, app: str = "tallycast", **extra: str) ->
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared checkpoint directory.
+_own_roots: dict[str, str] = {}
+
+
+def _shared_root(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``.
 
-    The cluster names that directory in ``spark.checkpoint.dir``. Only a local session may fall back to a
-    temporary folder: on a cluster the executors would not see it.
+    Only a session whose tasks run in the driver's own process may do without the setting; it gets a temporary
+    folder. Executors in processes of their own, local or not, would not see that.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tallycast-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    if root:
+        return root
+    context = spark.sparkContext
+    if context.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    if context.applicationId not in _own_roots:
+        _own_roots[context.applicationId] = tempfile.mkdtemp(prefix="tallycast-")
+    return _own_roots[context.applicationId]
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder under the shared checkpoint directory; it is deleted when the session's process ends."""
+    folder = os.path.join(_shared_root(spark), f"{purpose}-{uuid.uuid4().hex}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    files.deleteOnExit(path)
+    return folder
 
 
 def cut_lineage(df, purpose: str):
