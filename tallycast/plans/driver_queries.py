@@ -57,20 +57,22 @@ def _fluxes(source: str, cycle: str, where: str = "true") -> str:
             USING ({keys}, datetime)) r) f"""
 
 
-_RAD = repr(math.pi / 180)
 _DOY = "(extract(doy FROM datetime) + extract(hour FROM datetime) / 24.0::DOUBLE)"
 
 
 def _radiation(source: str) -> str:
-    """The sun's position written out from its textbook parts."""
-    return f"""SELECT * EXCLUDE (doy, lat, lon, f, et, zone, noon, dec),
-      1366 * greatest(sin(lat * {_RAD}) * sin(dec) + cos(lat * {_RAD}) * cos(dec) * cos(pi() / 12 * (extract(hour FROM datetime) - noon)), 0) AS rpot
-      FROM (SELECT *, 12 + (lon - zone) * -4 / 60 - et - zone / 15 AS noon, -23.45 * {_RAD} * cos(2 * pi() * (doy + 10) / 365) AS dec
-      FROM (SELECT *, (-104.7 * sin(f) + 596.2 * sin(2 * f) + 4.3 * sin(4 * f) - 429.3 * cos(f) - 2 * cos(2 * f) + 19.3 * cos(3 * f)) / 3600.0::DOUBLE AS et,
-                   floor(lon / 15) * 15 AS zone
-      FROM (SELECT *, {_RAD} * (279.5 + 0.9856 * doy)::DOUBLE AS f FROM (
-        SELECT s.*, {_DOY} AS doy, p.latitude AS lat, CASE WHEN p.longitude < 0 THEN p.longitude + 360 ELSE p.longitude END AS lon
-        FROM ({source}) s LEFT JOIN sites p ON p.field_site_id = s.site_id) a) b) c) d"""
+    """By the hours from the sun's noon: its height then, less what the turn since costs."""
+    return f"""SELECT * EXCLUDE (lat, dec, from_noon),
+      1366 * greatest(cos(lat - dec) - 2 * cos(lat) * cos(dec) * pow(sin(pi() * from_noon / 24), 2), 0) AS rpot
+      FROM (SELECT s.*, radians(p.latitude) AS lat, -radians(23.45::DOUBLE) * cos(2 * pi() * (doy + 10) / 365) AS dec,
+              hour - (12 - p.longitude / 15 - late / 3600) AS from_noon
+      FROM ({source}) s
+      JOIN (SELECT datetime AS at, doy, hour, -104.7::DOUBLE * sin(f) + 596.2::DOUBLE * sin(2 * f) + 4.3::DOUBLE * sin(4 * f)
+                   - 429.3::DOUBLE * cos(f) - 2 * cos(2 * f) + 19.3::DOUBLE * cos(3 * f) AS late
+            FROM (SELECT *, radians(279.5 + 0.9856 * doy) AS f FROM (
+              SELECT datetime, {_DOY} AS doy, extract(hour FROM datetime) AS hour FROM (SELECT DISTINCT datetime FROM ({source}) x) y) z) w) e
+        ON e.at = s.datetime
+      LEFT JOIN sites p ON p.field_site_id = s.site_id) d"""
 
 
 def _downscaled(fluxes: str, cycle: str) -> str:
