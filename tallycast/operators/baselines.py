@@ -180,7 +180,8 @@ def persistence_rw(
     """Random walks from the last value whose steps are drawn from the series' own (centred) daily changes.
 
     Draws name a change by its number in the series and fetch it with an equi-join, so no task holds a series; only
-    the running sum of one path is ordered in a task.
+    the running sum of one path is ordered in a task. A series without two successive days has no changes to draw from
+    and gets no forecast.
     """
     to, back = TRANSFORMS[transform]
     value = F.col("observation")
@@ -219,8 +220,11 @@ def persistence_path(targets: DataFrame, today: str, ahead: int = HORIZON_DAYS)
 def mean_forecast(
     targets: DataFrame, today: str, n_paths: int = 500, weeks: int = 52, seed: int = 1
 ) -> DataFrame:
-    """A year of weeks around the site's mean of log(x + 1), with bootstrapped residuals."""
-    logged = targets.where(F.col("observation") >= 0).select(
+    """A year of weeks around the site's mean of log(x + 1), with bootstrapped residuals.
+
+    Observations of -1 and below have no such logarithm and are left out.
+    """
+    logged = targets.where(F.col("observation") > -1).select(
         *SERIES_KEY, "datetime", F.log1p("observation").alias("_y")
     )
     pool = with_position(logged, SERIES_KEY, "datetime", month_block()).select(*SERIES_KEY, "_pos", "_y")

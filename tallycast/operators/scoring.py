@@ -59,11 +59,12 @@ def eligible_forecasts(forecasts: DataFrame, targets: DataFrame, project: str, c
 def score_candidates(forecasts: DataFrame, scores: DataFrame, targets: DataFrame) -> DataFrame:
     """Forecast rows that are not scored yet and have an observation.
 
+    A score row that was stored without an observation does not count as scored.
     Observations join first: the join drops rows, and the anti join then shuffles less.
     """
     observed = targets.where(F.col("observation").isNotNull()).select(*OBS_KEY, "observation")
     # a semi or anti join ignores repeats in its right side, so the keys are not made distinct first
-    done = scores.select(*SCORE_KEY)
+    done = scores.where(F.col("observation").isNotNull()).select(*SCORE_KEY)
     return forecasts.join(observed, OBS_KEY).join(done, SCORE_KEY, "left_anti")
 
 

@@ -146,8 +146,13 @@ FROM (SELECT c.*, 50 + (m - 1) * 5 + extract(day FROM datetime) % 7 AS center FR
 
 
 def _scores_old(d: Dialect) -> str:
-    """What had been scored by mid month."""
-    return "SELECT * FROM scores WHERE datetime < TIMESTAMP '2024-01-16 00:00:00'"
+    """What had been scored by mid month; some rows were stored before their observation came."""
+    columns = (
+        "project_id, model_id, site_id, datetime, reference_datetime, duration, variable, family, pub_datetime, "
+        "CASE WHEN extract(day FROM datetime) % 5 = 0 THEN NULL ELSE observation END AS observation, crps, logs, mean, "
+        "median, sd, quantile97_5, quantile02_5, quantile90, quantile10"
+    )
+    return f"SELECT {columns} FROM scores WHERE datetime < TIMESTAMP '2024-01-16 00:00:00'"
 
 
 def _sites(d: Dialect) -> str:
@@ -250,7 +255,7 @@ FROM (SELECT s.*, {d.each('k', 0, 2)} FROM (
 
 
 def _drivers_raw(d: Dialect) -> str:
-    """A weather forecast in three-hour steps, two members per site and day of the first week."""
+    """A weather forecast in three-hour steps, two members per site and issue day."""
     return f"""
 SELECT concat('S', lpad(CAST(user_id AS {d.text}), 6, '0')) AS site_id, 'ensemble' AS family,
        concat('gep0', CAST(g AS {d.text})) AS ensemble, day AS reference_datetime,
@@ -263,7 +268,8 @@ SELECT concat('S', lpad(CAST(user_id AS {d.text}), 6, '0')) AS site_id, 'ensembl
 FROM (SELECT c.*, {d.each_of('variable', ['PRES', 'RH', 'TMP', 'UGRD', 'VGRD', 'APCP', 'DSWRF', 'DLWRF'])} FROM (
         SELECT b.*, {d.each('k', 0, 10)} FROM (
           SELECT a.*, {d.each('g', 1, 2)} FROM (
-            SELECT user_id, min(CAST(date_trunc('day', ts) AS {d.ts})) AS day FROM events GROUP BY user_id) a) b) c) x"""
+            SELECT {d.spread}* FROM (
+              SELECT DISTINCT user_id, CAST(date_trunc('day', ts) AS {d.ts}) AS day FROM events) q) a) b) c) x"""
 
 
 def _pseudo_raw(d: Dialect) -> str:

@@ -30,7 +30,8 @@ _SCORE_KEY = [*_KEY, "model_id", "family", "reference_datetime"]
 _CANDIDATES = f"""
 SELECT f.*, t.observation FROM ({_ELIGIBLE}) f
 JOIN targets t ON {' AND '.join(f'f.{k} = t.{k}' for k in _KEY)} AND t.observation IS NOT NULL
-WHERE NOT EXISTS (SELECT 1 FROM scores_old s WHERE {' AND '.join(f'f.{k} = s.{k}' for k in _SCORE_KEY)})"""
+WHERE NOT EXISTS (SELECT 1 FROM scores_old s
+  WHERE {' AND '.join(f'f.{k} = s.{k}' for k in _SCORE_KEY)} AND s.observation IS NOT NULL)"""
 
 
 def _eligible(inp):
