@@ -14,7 +14,7 @@ from tallycast.llm.common import stored_rows
 from tallycast.session import cut_lineage
 
 SPACE = r"[\x20\x09-\x0D]+"
-FIRST_BYTES = 64
+FIRST_BYTES = 256
 GROWTH = 8
 WIDEST_BYTES = 1 << 20
 
@@ -59,7 +59,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     offset, width, stage = FIRST_BYTES, FIRST_BYTES, 0
     while True:
         stage += 1
-        joined = active.join(parts, ["part", "digit", "ended"])
+        # by key at every size, as a large corpus needs it: its parts are too many to send to every task
+        joined = active.join(parts.hint("merge"), ["part", "digit", "ended"])
         finished = joined.filter("ended").select(*about, "n", "first")
         done.append(_verdicts(cut_lineage(finished, f"radix-ended-{stage}")))
         width = min(width * GROWTH, WIDEST_BYTES)
