@@ -9,16 +9,8 @@ from pyspark.sql import functions as F
 
 from tallycast.session import cut_lineage
 
-#: A group larger than this is never gathered into one array.
+#: A group of more rows than this is ranked in value ranges and never gathered into one array.
 GROUP_ROWS = 100_000
-#: At most this many groups are called large, so the list of them (8 bytes each) can always be broadcast.
-MAX_LARGE = 500_000
-
-#: A group with more distinct values than this is ranked in blocks.
-RANK_ROWS = 1_000_000
-RANK_BLOCKS = 256
-#: At most this many groups are ranked in blocks: their cut points (2 kB each) can always be broadcast.
-MAX_BLOCKED = 4_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -30,35 +22,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """The largest group's size and the total.
-
-    Measured at once: whether a group is too large to gather decides the plan, and only the data can tell. Groups are
-    counted per key hash; a collision can only call a group larger than it is.
-    """
-    sizes = df.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-    row = sizes.agg(F.max("_size"), F.sum("_size")).first()
-    return row[0] or 0, row[1] or 0
-
-
 def split_by_size(
-    df: DataFrame, keys: list[str], limit: int = GROUP_ROWS, known: tuple[int, int] | None = None
+    df: DataFrame, keys: list[str], limit: int = GROUP_ROWS, among: Column | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary groups, and rows of groups too large to gather (None if there are none).
 
-    ``known`` is the (largest, total) size if the caller has measured it. A group is large above
-    ``max(limit, total / MAX_LARGE)`` rows, so there are at most MAX_LARGE of them and the broadcast list stays under
-    4 MB whatever the input. Their rows are written to the shared folder, because ranking reads them several times.
+    Groups that do not meet ``among`` (a condition on the keys) are never too large.
+
+    The bound is the same whatever the input. Groups are counted per key hash, reduced before the shuffle; a collision
+    can only call a group larger than it is. The large ones are stored as a table of their own and found by a join,
+    so their number is not limited either. Their rows are stored too, because ranking reads them several times.
     """
-    sizes = df.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-    largest, total = known or group_sizes(df, keys)
-    bound = max(limit, total // MAX_LARGE)
-    if largest <= bound:
+    counted = df if among is None else df.where(among)
+    sizes = counted.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
+    large = cut_lineage(sizes.where(F.col("_size") > limit).select("_g"), "large-groups")
+    if large.isEmpty():
         return df, None
-    large = F.broadcast(sizes.where(F.col("_size") > bound).select("_g"))
     tagged = df.withColumn("_g", F.xxhash64(*keys))
     rows = tagged.join(large, "_g", "left_semi").drop("_g")
-    return tagged.join(large, "_g", "left_anti").drop("_g"), cut_lineage(rows, "large-groups")
+    return tagged.join(large, "_g", "left_anti").drop("_g"), cut_lineage(rows, "large-group-rows")
 
 
 def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -66,43 +48,20 @@ def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return known.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _with_blocks(counts: DataFrame, keys: list[str], bound: int) -> DataFrame:
-    """Cut the values of large groups into ranges of about equal size (``_block``); other groups have one range."""
-    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
-    large = F.broadcast(sizes.where(F.col("_d") > bound).drop("_d"))
-    steps = [i / RANK_BLOCKS for i in range(1, RANK_BLOCKS)]
-    cuts = (
-        null_safe_join(counts, large, keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_v", steps, 10_000).alias("_cuts"))
-    )
-    blocked = null_safe_join(counts, F.broadcast(cuts), keys, "left")
-    above = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    return blocked.withColumn("_block", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(above)).drop("_cuts")
-
-
-def value_ranks(
-    df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float] | None = None, limit: int = RANK_ROWS
-) -> DataFrame:
+def value_ranks(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float] | None = None) -> DataFrame:
     """Exact ranks: ``_v``, its multiplicity ``_n``, the rows ``_before`` it and the group size ``_m``.
 
-    Equal values are counted before anything is shuffled by group. A group with more than ``limit`` distinct values is
-    cut into value ranges that are ranked side by side; with ``quantiles`` only the ranges that hold a wanted position
-    are sorted.
+    Equal values are counted before anything is shuffled by group. All groups together are then cut into ranges of
+    (group, value), of about equal size whatever the groups' sizes: a small group lies in one range, a large one
+    spreads over many, and each task ranks one range. Ranges are stored, since another run of the sort may cut them
+    elsewhere. With ``quantiles`` only the ranges that hold a wanted position are ranked.
     """
     counts = _value_counts(df, keys, value)
-    largest, total = group_sizes(counts, keys or [F.lit(0)])
-    bound = max(limit, total // MAX_BLOCKED)
+    ranges = counts.repartitionByRange(*keys, "_v").withColumn("_block", F.spark_partition_id())
+    blocked = cut_lineage(ranges, "value-ranges")
     group = Window.partitionBy(*keys)
     running = Window.unboundedPreceding, Window.currentRow
-    if largest <= bound:
-        return counts.withColumns(
-            {
-                "_m": F.sum("_n").over(group),
-                "_before": F.sum("_n").over(group.orderBy("_v").rowsBetween(*running)) - F.col("_n"),
-            }
-        )
-    blocked = cut_lineage(_with_blocks(cut_lineage(counts, "value-counts"), keys, bound), "value-blocks")
+    # a row for each range that a group touches
     totals = blocked.groupBy(*keys, "_block").agg(F.sum("_n").alias("_bn"))
     totals = totals.withColumns(
         {
@@ -147,14 +106,12 @@ def quantile_from_ranks(ranks: DataFrame, keys: list[str], quantiles: Mapping[st
     return rows.select(*keys, *result)
 
 
-def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float], limit: int = RANK_ROWS
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
     """Exact interpolated quantiles per group, for groups of any size.
 
     The built-in exact percentile keeps every distinct value of a group in one task's memory.
     """
-    return quantile_from_ranks(value_ranks(df, keys, value, quantiles, limit), keys, quantiles)
+    return quantile_from_ranks(value_ranks(df, keys, value, quantiles), keys, quantiles)
 
 
 def keep_extreme(df: DataFrame, keys: list[str], order: list[Column], *, largest: bool = True) -> DataFrame:

@@ -88,13 +88,8 @@ def scoring_groups(candidates: DataFrame) -> DataFrame:
 # --- samples ----------------------------------------------------------------------------------------------------
 
 
-def _score_gathered(members: DataFrame, keys: list[str], summaries: bool, scored: bool) -> DataFrame:
-    """One row per forecast from its members gathered in an array; only for groups of bounded size."""
-    rows = members.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("prediction")).alias("_x"),
-        F.avg("prediction").alias("_mean"),
-        F.stddev_samp("prediction").alias("_sd"),
-    )
+def _gathered_stats(summaries: bool, scored: bool) -> dict[str, Column]:
+    """Scores and statistics of a sample from its sorted members ``_x``, their mean and spread."""
     x = F.col("_x")
     out: dict[str, Column] = {}
     if scored:
@@ -105,7 +100,7 @@ def _score_gathered(members: DataFrame, keys: list[str], summaries: bool, scored
     if summaries:
         out |= {"mean": F.col("_mean"), "median": rules.sample_quantile(x, 0.5), "sd": F.col("_sd")}
         out |= {name: rules.sample_quantile(x, q) for name, q in rules.LIMITS.items()}
-    return rows.select(*keys, *[c.alias(n) for n, c in out.items()])
+    return out
 
 
 def _score_ranked(members: DataFrame, keys: list[str], summaries: bool, scored: bool) -> DataFrame:
@@ -157,26 +152,11 @@ def _score_ranked(members: DataFrame, keys: list[str], summaries: bool, scored:
     return base.select(*out)
 
 
-def _samples(
-    rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int, known: tuple[int, int] | None = None
-) -> DataFrame:
-    members = rows.where((F.col("family") == "sample") & F.col("prediction").isNotNull()).select(*keys, "prediction")
-    ordinary, large = split_by_size(members, keys, limit, known)
-    result = _score_gathered(ordinary, keys, summaries, scored)
-    if large is None:
-        return result
-    return result.unionByName(_score_ranked(large, keys, summaries, scored))
-
+# --- all families ---------------------------------------------------------------------------------------------
 
-# --- parametric families --------------------------------------------------------------------------------------
 
-
-def _parametric(rows: DataFrame, keys: list[str], families: list[str], summaries: bool, scored: bool) -> DataFrame:
-    names = sorted({name for family in families for name in FAMILY_PARAMETERS[family]})
-    chosen = rows.where(F.col("family").isin(families))
-    wide = chosen.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("parameter") == n, F.col("prediction"))).alias(f"_p_{n}") for n in names]
-    )
+def _parametric_stats(families: list[str], summaries: bool, scored: bool) -> dict[str, Column]:
+    """Scores and statistics of parametric forecasts from their parameters ``_p_*``."""
 
     def pick(per_family: dict[str, Column]) -> Column:
         column = F.lit(None).cast("double")
@@ -193,29 +173,40 @@ def _parametric(rows: DataFrame, keys: list[str], families: list[str], summaries
     if summaries:
         stats = {f: rules.PARAMETRIC_STATS[f](params[f]) for f in families}
         out |= {s: pick({f: stats[f][s] for f in families}) for s in STATS}
-    return wide.select(*keys, *[c.alias(n) for n, c in out.items()])
+    return out
 
 
-def _families(rows: DataFrame, keys: list[str]) -> dict[str, tuple[int, int]]:
-    """The known families in the table, each with its largest group and its number of rows."""
-    known = rows.where(F.col("family").isin("sample", *FAMILY_PARAMETERS))
-    sizes = known.groupBy("family", F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-    found = sizes.groupBy("family").agg(F.max("_size").alias("largest"), F.sum("_size").alias("total"))
-    # one row per known family
-    return {r["family"]: (r["largest"], r["total"]) for r in found.collect()}
+def _by_family(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int, families: list[str]) -> DataFrame:
+    """One row per forecast with its scores and statistics.
 
-
-def _by_family(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int) -> DataFrame:
-    """One branch per kind of family that occurs, so the table is not read again for families it does not have."""
-    named = rows.withColumn("family", sample_family())
-    found = _families(named, keys)
+    One aggregate turns members into sorted arrays and parameters into columns, for all families at once. It is stored,
+    and each kind of family then reads its own forecasts from that small table, so a function in Python sees no others.
+    """
+    named = rows.withColumn("family", sample_family()).where(F.col("family").isin(families))
+    known = named.where((F.col("family") != "sample") | F.col("prediction").isNotNull())
+    ordinary, large = known.select(*keys, "parameter", "prediction"), None
+    if "sample" in families:
+        ordinary, large = split_by_size(ordinary, keys, limit, F.col("family") == "sample")
+    parametric = [f for f in families if f != "sample"]
+    names = sorted({name for family in parametric for name in FAMILY_PARAMETERS[family]})
+    member = F.when(F.col("family") == "sample", F.col("prediction"))
+    wide = ordinary.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(member)).alias("_x"),
+        F.avg(member).alias("_mean"),
+        F.stddev_samp(member).alias("_sd"),
+        *[F.max(F.when(F.col("parameter") == n, F.col("prediction"))).alias(f"_p_{n}") for n in names],
+    )
+    kinds = [["sample"]] * ("sample" in families) + [[f for f in parametric if f in ARITHMETIC]]
+    kinds = [k for k in kinds if k] + [[f] for f in parametric if f not in ARITHMETIC]
+    if len(kinds) > 1:
+        wide = cut_lineage(wide, "forecasts-wide")
     parts = []
-    if "sample" in found or not found:
-        parts.append(_samples(named, keys, summaries, scored, limit, found.get("sample")))
-    simple = [f for f in ARITHMETIC if f in found]
-    for families in [simple] + [[f] for f in FAMILY_PARAMETERS if f in found and f not in ARITHMETIC]:
-        if families:
-            parts.append(_parametric(named, keys, families, summaries, scored))
+    for kind in kinds:
+        stats = _gathered_stats(summaries, scored) if kind == ["sample"] else _parametric_stats(kind, summaries, scored)
+        chosen = wide.where(F.col("family").isin(kind))
+        parts.append(chosen.select(*keys, *[c.alias(n) for n, c in stats.items()]))
+    if large is not None:
+        parts.append(_score_ranked(large, keys, summaries, scored))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -225,21 +216,18 @@ def score_joined(joined: DataFrame, include_summaries: bool = True, limit: int =
     Rows are split by kind of family before anything else, so ``parameter`` is only ever read as what it is.
     """
     keys = [*present(SCORE_GROUP, joined), "observation"]
-    return _by_family(joined, keys, include_summaries, True, limit)
+    return _by_family(joined, keys, include_summaries, True, limit, ["sample", *FAMILY_PARAMETERS])
 
 
 def summarize_forecast(forecasts: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
     """Mean, median, spread and limits of every forecast; no observation needed."""
-    return _by_family(forecasts, present(SCORE_GROUP, forecasts), True, False, limit)
+    return _by_family(forecasts, present(SCORE_GROUP, forecasts), True, False, limit, ["sample", *FAMILY_PARAMETERS])
 
 
 def score_family(joined: DataFrame, family: str, rule: str) -> DataFrame:
     """A single rule (``crps`` or ``logs``) for a single family."""
     keys = [*present(SCORE_GROUP, joined), "observation"]
-    if family == "sample":
-        rows = joined.withColumn("family", sample_family())
-        return _samples(rows, keys, False, True, GROUP_ROWS).select(*keys, rule)
-    return _parametric(joined, keys, [family], False, True).select(*keys, rule)
+    return _by_family(joined, keys, False, True, GROUP_ROWS, [family]).select(*keys, rule)
 
 
 # --- keeping the score table --------------------------------------------------------------------------------

@@ -26,25 +26,38 @@ def expected(rows, q):
     return {k: float(np.quantile(v, q)) for k, v in groups.items()}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 50])
-def test_exact_quantiles_with_and_without_blocks(skewed, limit):
+def test_exact_quantiles(skewed):
     df, rows = skewed
-    got = ranks.exact_quantiles(df, ["k"], "v", {"lo": 0.025, "mid": 0.5, "hi": 0.975}, limit=limit)
+    got = ranks.exact_quantiles(df, ["k"], "v", {"lo": 0.025, "mid": 0.5, "hi": 0.975})
     got = {r["k"]: r for r in got.collect()}
     for name, q in (("lo", 0.025), ("mid", 0.5), ("hi", 0.975)):
         assert {k: got[k][name] for k in got} == pytest.approx(expected(rows, q))
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 50])
-def test_value_ranks_count_what_lies_below(skewed, limit):
+def test_value_ranks_count_what_lies_below(skewed):
     df, rows = skewed
     hot = sorted(v for k, v in rows if k == "hot" and v is not None)
-    for r in ranks.value_ranks(df, ["k"], "v", limit=limit).where("k = 'hot'").collect():
+    for r in ranks.value_ranks(df, ["k"], "v").where("k = 'hot'").collect():
         assert r["_before"] == np.searchsorted(hot, r["_v"], "left")
         assert r["_before"] + r["_n"] == np.searchsorted(hot, r["_v"], "right")
         assert r["_m"] == len(hot)
 
 
+def test_a_group_with_most_rows_is_ranked_in_many_ranges(spark, skewed, monkeypatch):
+    df, _ = skewed
+    stored = []
+    cut = ranks.cut_lineage
+    monkeypatch.setattr(ranks, "cut_lineage", lambda d, purpose: stored.append(cut(d, purpose)) or stored[-1])
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranks.value_ranks(df, ["k"], "v").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    sizes = [r["count"] for r in stored[0].where("k = 'hot'").groupBy("_block").count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < 0.6 * sum(sizes)
+
+
 def test_split_by_size_keeps_every_row(skewed):
     df, rows = skewed
     ordinary, large = ranks.split_by_size(df, ["k"], limit=100)

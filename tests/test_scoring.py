@@ -59,7 +59,9 @@ def test_resubmission_is_its_own_row(spark):
 def test_unscored_and_observed_only(spark):
     rows = [forecast("1", 1.0, site=s) for s in ("scored", "new", "unobserved")]
     observed = targets(spark, [target(1.0, s) for s in ("scored", "new")] + [target(None, "unobserved")])
-    done = frame(spark, rows).where("site_id = 'scored'")
+    done = frame(spark, rows).where("site_id = 'scored'").withColumn("observation", F.lit(1.0))
+    # stored before its observation came: still to be scored
+    done = done.unionByName(frame(spark, rows).where("site_id = 'new'").withColumn("observation", F.lit(None).cast("double")))
     left = scoring.score_candidates(frame(spark, rows), done, observed).collect()
     assert [r["site_id"] for r in left] == ["new"]
 
@@ -86,6 +88,13 @@ def test_large_groups_score_as_ordinary_ones(spark):
     assert whole["single"]["crps"] == pytest.approx(40.5)
 
 
+def test_size_of_parametric_groups_does_not_matter(spark):
+    rows = [forecast("mu", 1.0, family="normal"), forecast("sigma", 2.0, family="normal"), forecast("1", 3.0), forecast("2", 4.0)]
+    joined = frame(spark, rows).withColumn("observation", F.lit(1.0))
+    whole, ranked = ({r["family"]: r["crps"] for r in scoring.score_joined(joined, limit=k).collect()} for k in (100, 0))
+    assert whole == pytest.approx(ranked) and set(whole) == {"normal", "sample"}
+
+
 def test_parametric_rows_never_read_parameter_as_a_number(spark):
     rows = [forecast("mu", 1.0, family="normal"), forecast("sigma", 2.0, family="normal")]
     rows += [forecast("prob", 0.25, family="bernoulli"), forecast("q", 0.25, family="unheard_of")]
