@@ -67,19 +67,20 @@ def allowed_combinations(spark: SparkSession, groups: Mapping[str, Mapping[str,
     return spark.createDataFrame(rows, schema).select("target_group", zipped.alias("c")).select("target_group", "c.*")
 
 
+_TIME = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+
+
 def _time(column: str) -> Column:
-    """A submitted time, with or without time of day; NULL if unreadable."""
-    return F.coalesce(
-        F.try_to_timestamp(column, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
-        F.try_to_timestamp(column, F.lit("yyyy-MM-dd'T'HH:mm:ssX")).cast("timestamp_ntz"),
-        F.try_to_timestamp(column, F.lit("yyyy-MM-dd")).cast("timestamp_ntz"),
-    )
+    """A submitted time: a date, with or without time of day, seconds, fraction and zone; NULL if unreadable."""
+    text = F.trim(F.col(column))
+    return F.when(text.rlike(_TIME), F.try_to_timestamp(text)).cast("timestamp_ntz")
 
 
 def validate_submissions(rows: DataFrame, allowed: DataFrame, strict: bool = False) -> DataFrame:
     """One report row per (file, rule): ``passed``, ``fatal``, and whether the whole file is ``valid``.
 
-    Rows are aggregated per (file, variable), then per file: more than one distinct value shows as min <> max, and
+    Files may differ in their columns: where the rows have ``columns``, it says what their file has, otherwise all files
+    have the columns of the table. Rows are aggregated per (file, variable), then per file: more than one distinct value shows as min <> max, and
     members are made distinct as rows before they are counted, so no task holds a file.
     """
     have = set(rows.columns)
@@ -94,12 +95,13 @@ def validate_submissions(rows: DataFrame, allowed: DataFrame, strict: bool = Fal
     typed = rows.select(
         "file",
         *[col(c).alias(c) for c in SUBMISSION_COLUMNS],
+        (F.col("columns") if "columns" in have else F.array(*map(F.lit, sorted(have)))).alias("_columns"),
         at.cast("timestamp_ntz").alias("_at"),
         issued.cast("timestamp_ntz").alias("_issued"),
     )
     typed = typed.withColumn("_lead", horizon_days_exact("_at", "_issued"))
-    limits = allowed.groupBy("variable").agg(F.max("max_horizon").alias("_limit"))
-    pairs = allowed.select("variable", "duration").distinct().withColumn("_allowed", F.lit(True))
+    limits = allowed.groupBy("variable").agg(F.max("max_horizon").alias("_longest"))
+    pairs = allowed.groupBy("variable", "duration").agg(F.max("max_horizon").alias("_limit"), F.lit(True).alias("_allowed"))
 
     member = F.when(F.col("family").isin("ensemble", "sample"), F.col("parameter"))
     members = typed.select("file", member.alias("parameter")).where(F.col("parameter").isNotNull()).distinct()
@@ -116,34 +118,36 @@ def validate_submissions(rows: DataFrame, allowed: DataFrame, strict: bool = Fal
         F.max("family").alias("_family_b"),
         F.bool_and(F.col("family").isNotNull()).alias("_family_known"),
         F.bool_and(F.col("_at").isNotNull() & F.col("datetime").contains("-")).alias("_times_read"),
+        F.max("_columns").alias("_columns"),
     )
     per_variable = per_variable.join(pairs, ["variable", "duration"], "left").join(limits, "variable", "left")
     per_file = per_variable.groupBy("file").agg(
         F.bool_and(F.coalesce(F.col("_allowed") & F.col("_one_duration"), missing)).alias("combination_allowed"),
-        F.bool_and(F.coalesce(F.col("_lead") <= F.col("_limit"), F.lit(True))).alias("horizon_allowed"),
+        F.bool_and(F.coalesce(F.col("_lead") <= F.coalesce("_limit", "_longest"), F.lit(True))).alias("horizon_allowed"),
         (F.bool_and("_model_known") & (F.min("_model_a") == F.max("_model_b"))).alias("single_model"),
         (F.bool_and("_family_known") & (F.min("_family_a") == F.max("_family_b"))).alias("single_family"),
         F.bool_and("_times_read").alias("datetime_readable"),
+        F.max("_columns").alias("_columns"),
     )
     checked = parse_submission_name(per_file.join(members, "file", "left"))
 
     def has(*names: str) -> Column:
-        return F.lit(all(n in have for n in names))
+        return F.array_size(F.array_intersect("_columns", F.array(*map(F.lit, names)))) == len(names)
 
     rules: dict[str, Column] = {
         "extension": F.col("extension").isin(VALID_EXTENSIONS),
-        "single_model": F.col("single_model") if "model_id" in have else F.lit(True),
+        "single_model": F.col("single_model") | ~has("model_id"),
         "has_variable_prediction": has("variable", "prediction"),
         "has_duration": has("duration"),
         "combination_allowed": F.col("combination_allowed"),
-        "no_ensemble_column": F.lit("ensemble" not in have),
+        "no_ensemble_column": ~has("ensemble"),
         "has_family_parameter": has("family", "parameter"),
         "single_family": F.col("single_family"),
         "member_limit": F.coalesce(F.col("_members") <= MAX_MEMBERS, F.lit(True)),
         "has_site": has("site_id"),
         "has_project": has("project_id"),
         "datetime_readable": F.col("datetime_readable"),
-        "has_reference": F.lit("reference_datetime" in have or "start_time" in have),
+        "has_reference": has("reference_datetime") | has("start_time"),
         "horizon_allowed": F.col("horizon_allowed"),
     }
     soft = [] if strict else WARNINGS

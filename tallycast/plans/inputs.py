@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallycast.schema import SUBMISSION_COLUMNS
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -34,6 +36,10 @@ class Dialect:
         items = ", ".join(repr(v) for v in values)
         return f"explode(array({items})) AS {name}" if self.spark else f"unnest([{items}]) AS {name}"
 
+    def array(self, values: list) -> str:
+        items = ", ".join(repr(v) for v in values)
+        return f"array({items})" if self.spark else f"[{items}]"
+
     def iso(self, expr: str) -> str:
         """A date as text."""
         return f"date_format({expr}, 'yyyy-MM-dd')" if self.spark else f"strftime({expr}, '%Y-%m-%d')"
@@ -313,9 +319,27 @@ FROM events GROUP BY 1, 2"""
 
 
 def _submissions(d: Dialect) -> str:
-    """Rows of submitted files as text, one file per model and issue date; file faults follow the file's number."""
+    """Rows of submitted files as text, one file per model and issue date; file faults follow the file's number.
+
+    ``columns`` lists what a file has; columns it lacks are NULL.
+    """
+    lacking = {
+        "u % 37 = 5": ["project_id"],
+        "u % 31 = 6": ["site_id"],
+        "u % 29 = 7": ["duration"],
+        "u % 27 = 8": ["family", "parameter"],
+        "u % 25 = 9": ["prediction"],
+        "u % 23 = 10": ["reference_datetime"],
+    }
+    whens = [f"WHEN {k} THEN {d.array([c for c in SUBMISSION_COLUMNS if c not in v])}" for k, v in lacking.items()]
+    whens.append(f"WHEN u % 21 = 11 THEN {d.array([*SUBMISSION_COLUMNS, 'ensemble'])}")
+    columns = f"CASE {' '.join(whens)} ELSE {d.array(SUBMISSION_COLUMNS)} END"
+    has = "array_contains" if d.spark else "list_contains"
+    blank = ", ".join(f"CASE WHEN {has}(columns, '{c}') THEN {c} END AS {c}" for c in SUBMISSION_COLUMNS)
     return f"""
-SELECT concat(CASE WHEN u % 3 = 0 THEN 'aquatics' WHEN u % 3 = 1 THEN 'ticks' ELSE 'other' END, '-',
+SELECT file, columns, {blank} FROM (
+SELECT {columns} AS columns,
+       concat(CASE WHEN u % 3 = 0 THEN 'aquatics' WHEN u % 3 = 1 THEN 'ticks' ELSE 'other' END, '-',
               {d.iso('ref')}, '-team', CAST(u AS {d.text}), CASE WHEN u % 17 = 5 THEN '.xlsx'
               WHEN u % 2 = 0 THEN '.csv' ELSE '.csv.gz' END) AS file,
        'demo' AS project_id, CASE WHEN u % 11 = 0 THEN NULL WHEN u % 13 = 0 AND k > 2
@@ -331,14 +355,15 @@ SELECT concat(CASE WHEN u % 3 = 0 THEN 'aquatics' WHEN u % 3 = 1 THEN 'ticks' EL
 FROM (SELECT b.*, {d.each('e', 1, 3)} FROM (
         SELECT a.*, {d.each('k', 0, 4)} FROM (
           SELECT {d.spread}* FROM (
-            SELECT DISTINCT user_id AS u, event_type, CAST(date_trunc('day', ts) AS {d.ts}) AS ref FROM events) q) a) b) x"""
+            SELECT DISTINCT user_id AS u, event_type, CAST(date_trunc('day', ts) AS {d.ts}) AS ref FROM events) q) a) b) x) y"""
 
 
 def _allowed(d: Dialect) -> str:
     """Permitted (variable, duration) pairs with their longest horizon; one event type is not permitted."""
     return """
 SELECT event_type AS variable, 'P1D' AS duration, 35 AS max_horizon FROM events
-WHERE event_type <> 'signup' GROUP BY event_type"""
+WHERE event_type <> 'signup' GROUP BY event_type
+UNION ALL SELECT event_type, 'PT1H', 60 FROM events WHERE event_type <> 'signup' GROUP BY event_type"""
 
 
 def _registry(d: Dialect) -> str:

@@ -55,20 +55,24 @@ def _(inp):
     return ops.allowed_combinations(inp.spark, groups).join(counts, "variable")
 
 
+def _has(*names):
+    return " AND ".join(f"list_contains(columns, '{n}')" for n in names)
+
+
 _RULES = [
     ("extension", "extension IN ('csv', 'csv.gz')", True),
     ("single_model", "models = 1 AND NOT model_missing", True),
-    ("has_variable_prediction", "true", True),
-    ("has_duration", "true", False),
+    ("has_variable_prediction", _has("variable", "prediction"), True),
+    ("has_duration", _has("duration"), False),
     ("combination_allowed", "combinations", False),
-    ("no_ensemble_column", "true", True),
-    ("has_family_parameter", "true", True),
+    ("no_ensemble_column", "NOT " + _has("ensemble"), True),
+    ("has_family_parameter", _has("family", "parameter"), True),
     ("single_family", "families = 1", True),
     ("member_limit", "members <= 500", True),
-    ("has_site", "true", False),
-    ("has_project", "true", False),
+    ("has_site", _has("site_id"), False),
+    ("has_project", _has("project_id"), False),
     ("datetime_readable", "times_read", True),
-    ("has_reference", "true", True),
+    ("has_reference", _has("reference_datetime"), True),
     ("horizon_allowed", "horizons", True),
 ]
 _FILES = f"""
@@ -76,17 +80,18 @@ _FILES = f"""
 typed AS (SELECT *, TRY_CAST(datetime AS TIMESTAMP) AS t, TRY_CAST(reference_datetime AS TIMESTAMP) AS r FROM names),
 per_variable AS (
   SELECT p.file, coalesce(bool_or(a.max_horizon IS NOT NULL), false) AND max(p.durations) = 1 AS ok,
-         max(lead) AS lead, max(l.max_horizon) AS longest
+         max(lead) AS lead, coalesce(max(a.max_horizon), max(l.longest)) AS longest
   FROM (SELECT file, variable, min(duration) AS duration, count(DISTINCT duration) AS durations,
                max(date_diff('microsecond', r, t) / 86400e6) AS lead FROM typed GROUP BY file, variable) p
   LEFT JOIN allowed a ON a.variable = p.variable AND a.duration = p.duration
-  LEFT JOIN allowed l ON l.variable = p.variable GROUP BY p.file, p.variable),
+  LEFT JOIN (SELECT variable, max(max_horizon) AS longest FROM allowed GROUP BY variable) l ON l.variable = p.variable
+  GROUP BY p.file, p.variable),
 files AS (
   SELECT f.*, v.combinations, v.horizons FROM (
     SELECT file, min(extension) AS extension, count(DISTINCT model_id) AS models, bool_or(model_id IS NULL) AS model_missing,
            count(DISTINCT family) AS families,
            count(DISTINCT CASE WHEN family IN ('ensemble', 'sample') THEN parameter END) AS members,
-           bool_and(t IS NOT NULL) AS times_read FROM typed GROUP BY file) f
+           bool_and(t IS NOT NULL) AS times_read, any_value(columns) AS columns FROM typed GROUP BY file) f
   JOIN (SELECT file, bool_and(ok) AS combinations, bool_and(coalesce(lead <= longest, true)) AS horizons
         FROM per_variable GROUP BY file) v ON v.file = f.file),
 judged AS (SELECT *, {' AND '.join(f'({text})' for _, text, fatal in _RULES if fatal)} AS valid FROM files)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.schema import BUNDLE_PARTITIONS, FORECAST_PARTITIONS, SITES, TARGETS, present
+from tallycast.schema import BUNDLE_PARTITIONS, FORECAST_PARTITIONS, SITES, SUBMISSION_COLUMNS, TARGETS, present
 
 MISSING = "NA"
 
@@ -34,15 +34,44 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, [path], SITES)
 
 
-def read_submissions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Submitted files as text, with the name of the file each row came from.
+#: A submitted file may have so many columns at most.
+FILE_COLUMNS = 40
+
+
+def submission_lines(reader, paths) -> DataFrame:
+    """The lines of submitted files, from a batch or a streaming reader, with where each came from."""
+    meta = {"path": "file_path", "file": "file_name", "start": "file_block_start"}
+    return reader.text(paths).select("value", *[F.col(f"_metadata.{v}").alias(k) for k, v in meta.items()])
 
-    Columns are found by the header's names; a column the files do not have is absent from the result, so that
-    validation can report it. Files read together share one header.
+
+def rows_by_header(lines: DataFrame) -> DataFrame:
+    """Lines of submitted files as text rows: each file by the names in its own first line.
+
+    Files may have their columns in any order, leave some out or have others besides. ``columns`` lists what the row's
+    file has; a column it lacks is NULL in all its rows. Values do not contain line breaks. Blank and NA are missing.
     """
-    rows = spark.read.option("header", True).option("nullValue", MISSING).option("inferSchema", False).csv(paths)
-    known = [F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns]
-    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), *known)
+    fields = ", ".join(f"c{k} string" for k in range(FILE_COLUMNS))
+    numbered = lines.withColumn("_order", F.monotonically_increasing_id())
+    first = F.min(F.struct("start", "_order", "value"))["value"].alias("_header")
+    headers = numbered.groupBy("path").agg(first)
+    split = lambda c: F.array(*[F.from_csv(c, F.lit(fields))[f"c{k}"] for k in range(FILE_COLUMNS)])
+    names = F.transform(split(F.regexp_replace("_header", "^\ufeff", "")), lambda n: F.trim(n))
+    headers = headers.withColumn("columns", names)
+    rows = lines.join(headers, "path").where((F.col("value") != F.col("_header")) & (F.trim("value") != ""))
+    rows = rows.withColumn("_values", split(F.col("value")))
+
+    def value(name: str) -> Column:
+        at = F.array_position("columns", name)
+        found = F.when(at > 0, F.try_element_at("_values", F.greatest(at, F.lit(1)).cast("int")))
+        return F.when(~F.trim(found).isin("", MISSING), found).alias(name)
+
+    present_names = F.filter("columns", lambda n: n.isNotNull())
+    return rows.select("path", "file", present_names.alias("columns"), *[value(c) for c in SUBMISSION_COLUMNS])
+
+
+def read_submissions(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Submitted files as text rows with the name and the columns of the file each came from."""
+    return rows_by_header(submission_lines(spark.read, paths))
 
 
 def read_events(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
@@ -50,18 +79,15 @@ def read_events(spark: SparkSession, path: str, file_format: str = "parquet") ->
     return spark.read.format(file_format).load(path)
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str], *, files_per_partition: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     """Hive-partitioned parquet with few files per partition.
 
-    Only partitions present in ``df`` are replaced, so running a batch again gives the same result. A partition that
-    holds most of the rows can be given several writers.
+    Only partitions present in ``df`` are replaced, so running a batch again gives the same result. Rows are brought
+    together by partition as far as tasks stay of even size: a partition that holds most of the rows has many writers.
     """
-    keys = [F.col(c) for c in present(columns, df)]
-    if files_per_partition > 1:
-        rest = [c for c in df.columns if c not in columns]
-        keys.append(F.pmod(F.xxhash64(*rest), F.lit(files_per_partition)))
-    writer = df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*present(columns, df)).parquet(path)
+    keys = present(columns, df)
+    even = df.hint("rebalance", *keys)
+    even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_forecasts(df: DataFrame, path: str, **kwargs) -> None:
@@ -72,6 +98,12 @@ def write_bundle(df: DataFrame, path: str, **kwargs) -> None:
     write_partitioned(df, path, BUNDLE_PARTITIONS, **kwargs)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a store that Spark reads has the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_dataset(spark: SparkSession, path: str, schema) -> DataFrame:
     """A partitioned dataset with a declared schema: no file is opened to find out its columns."""
     return spark.read.schema(schema).parquet(path)

@@ -109,11 +109,57 @@ def write_files(folder, numbers):
             f.write("\n".join([header, *lines]) + "\n")
 
 
-def test_files_are_read_by_column_name(spark, tmp_path):
-    write_files(tmp_path / "drop", [1])
-    rows = read_submissions(spark, [str(tmp_path / "drop")])
-    assert rows.columns == ["path", "file", *SUBMISSION_COLUMNS]
-    assert rows.first()["file"] == "theme-2024-01-01-m1.csv.gz"
+def test_every_file_is_read_by_its_own_header(spark, allowed, tmp_path):
+    drop = tmp_path / "drop"
+    write_files(drop, [1])
+    turned = SUBMISSION_COLUMNS[::-1]
+    layouts = {
+        "turned": turned,
+        "more": [*SUBMISSION_COLUMNS[:4], "ensemble", *SUBMISSION_COLUMNS[4:]],
+        "fewer": [c for c in SUBMISSION_COLUMNS if c not in ("site_id", "project_id")],
+        "bare": [c for c in SUBMISSION_COLUMNS if c != "prediction"],
+    }
+    for model, names in layouts.items():
+        row = {**GOOD, "model_id": model, "ensemble": "7", "variable": "x"}
+        quoted = [f'"{row[c]}"' if c == "datetime" else row[c] for c in names]
+        (drop / f"theme-2024-01-01-{model}.csv").write_text(",".join(names) + "\r\n" + ",".join(quoted) + "\r\n\r\n")
+    rows = read_submissions(spark, [str(drop)])
+    assert rows.columns == ["path", "file", "columns", *SUBMISSION_COLUMNS]
+    got = {r["model_id"]: r for r in rows.where("file LIKE '%.csv'").collect()}
+    assert rows.count() == 4 + len(layouts) and set(got) == set(layouts)
+    for model, names in layouts.items():
+        assert got[model]["columns"] == names
+        assert all(got[model][c] == (({**GOOD, "model_id": model})[c] if c in names else None) for c in SUBMISSION_COLUMNS)
+    report = ops.validate_submissions(rows, allowed).collect()
+    failed = {(r["file"].split("-")[-1].split(".")[0], r["rule"]) for r in report if not r["passed"]}
+    assert failed == {("more", "no_ensemble_column"), ("fewer", "has_site"), ("fewer", "has_project"), ("bare", "has_variable_prediction")}
+    valid = {r["file"].split("-")[-1].split(".")[0] for r in report if r["valid"]}
+    assert valid == {"m1", "turned", "fewer"}
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("2024-01-03", "2024-01-03 00:00:00"),
+        ("2024-01-03 06:30", "2024-01-03 06:30:00"),
+        ("2024-01-03T06:30:15", "2024-01-03 06:30:15"),
+        ("2024-01-03T06:30:15.000Z", "2024-01-03 06:30:15"),
+        ("2024-01-03T06:30:15+02:00", "2024-01-03 04:30:15"),
+        ("2024-13-03", None),
+        ("20240103", None),
+        ("2024", None),
+    ],
+)
+def test_times(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(ops._time("t").cast("string").alias("t")).first()["t"]
+    assert got == want
+
+
+@pytest.mark.parametrize(("duration", "day", "ok"), [("PT1H", "2024-01-11", True), ("PT1H", "2024-01-12", False), ("P1D", "2024-02-05", True), ("P9D", "2024-02-05", True)])
+def test_horizon_depends_on_duration(spark, duration, day, ok):
+    groups = {"g": {"variable": ["x", "x"], "duration": ["P1D", "PT1H"], "max_horizon": [35, 10]}}
+    failed, _ = report(spark, ops.allowed_combinations(spark, groups), [{"duration": duration, "datetime": day}])
+    assert ("horizon_allowed" not in failed) is ok
 
 
 def test_ingest_stream_resumes_and_rejects(spark, allowed, tmp_path):
