@@ -187,17 +187,33 @@ def variable_table(targets: DataFrame, descriptions: DataFrame) -> DataFrame:
     return pairs.join(descriptions, ["variable", "duration"], "left")
 
 
-def submissions_per_month(forecasts: DataFrame, start: Column, end: Column) -> DataFrame:
-    rows = submissions(forecasts.where((F.col("reference_datetime") >= start) & (F.col("reference_datetime") < end)))
+#: Durations the reports count.
+REPORTED = ["P1D", "P1W"]
+
+
+def at_registered(df: DataFrame, sites: DataFrame) -> DataFrame:
+    """Rows of reported durations at registered sites (``field_site_id``)."""
+    known = sites.select(F.col("field_site_id").alias("site_id"))
+    return df.where(F.col("duration").isin(REPORTED)).join(known, "site_id", "left_semi")
+
+
+def submissions_per_month(scores: DataFrame, sites: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Submissions scored at registered sites by month of issue; one at several sites counts at each."""
+    rows = at_registered(scores, sites)
+    rows = rows.where((F.col("reference_datetime") >= start) & (F.col("reference_datetime") < end))
+    rows = rows.select("model_id", "variable", "duration", "reference_datetime", "site_id").distinct()
     return rows.groupBy(floor_to("month", "reference_datetime").alias("month")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def submission_counts(scores: DataFrame, weekly: list[str], months: int, excluded: list[str] | None = None) -> DataFrame:
-    """Submissions, forecast-observation pairs and models, per variable and in total.
+def submission_counts(
+    scores: DataFrame, sites: DataFrame, weekly: list[str], months: int, excluded: list[str] | None = None
+) -> DataFrame:
+    """Submissions, forecast-observation pairs and models, per variable and in total, at registered sites.
 
-    One pass: pairs are reduced to submissions with their number of pairs, these to models.
+    Excluded variables are not counted, but the total of models has the models of those too. One pass: pairs are
+    reduced to submissions with their number of pairs, these to models.
     """
-    rows = scores if not excluded else scores.where(~F.col("variable").isin(excluded))
+    rows = at_registered(scores, sites)
     pairs = rows.select("model_id", "reference_datetime", "variable", "duration", "site_id", "datetime").distinct()
     per_submission = pairs.groupBy("model_id", "variable", "reference_datetime", "duration", "site_id").agg(
         F.count(F.lit(1)).alias("pairs")
@@ -205,12 +221,15 @@ def submission_counts(scores: DataFrame, weekly: list[str], months: int, exclude
     per_model = per_submission.groupBy("model_id", "variable").agg(
         F.sum("pairs").alias("pairs"), F.count(F.lit(1)).alias("submissions")
     )
-    counts = per_model.rollup("variable").agg(
+    left_out = F.coalesce(F.col("variable").isin(excluded or []), F.lit(False))
+    counts = per_model.withColumn("_out", left_out).rollup("variable").agg(
         F.grouping("variable").alias("total"),
-        F.sum("submissions").alias("submissions"),
-        F.sum("pairs").alias("pairs"),
+        F.bool_and("_out").alias("_out"),
+        F.sum(F.when(~F.col("_out"), F.col("submissions"))).alias("submissions"),
+        F.sum(F.when(~F.col("_out"), F.col("pairs"))).alias("pairs"),
         F.count_distinct("model_id").alias("models"),
     )
+    counts = counts.where((F.col("total") == 1) | ~F.col("_out")).drop("_out")
     long = counts.unpivot(["variable", "total"], ["submissions", "pairs", "models"], "kind", "n")
     frequency = F.when(F.col("variable").isin(weekly), "weekly").otherwise("daily")
     is_total = F.col("total") == 1
@@ -223,17 +242,19 @@ def submission_counts(scores: DataFrame, weekly: list[str], months: int, exclude
     )
 
 
-def total_rows(targets: DataFrame, scores: DataFrame, forecasts: DataFrame, until: Column, start: Column, end: Column):
-    """Observations, scored forecasts and forecast members, counted and added."""
+def total_rows(
+    targets: DataFrame, scores: DataFrame, forecasts: DataFrame, sites: DataFrame, until: Column, start: Column, end: Column
+) -> DataFrame:
+    """Observations, scored forecasts and forecast members at registered sites, counted and added."""
 
     def inside(df):
-        kept = df.where(F.col("duration").isin("P1D", "P1W"))
+        kept = at_registered(df, sites)
         return kept.where((F.col("reference_datetime") >= start) & (F.col("reference_datetime") < end))
 
     key = ["reference_datetime", "model_id", "variable", "duration", "datetime", "site_id"]
     count = F.count(F.lit(1)).alias("n")
     parts = {
-        "targets": targets.where((F.col("datetime") < until) & F.col("observation").isNotNull()),
+        "targets": at_registered(targets, sites).where((F.col("datetime") < until) & F.col("observation").isNotNull()),
         "scored": inside(scores).select(*key).distinct(),
         "members": inside(forecasts).select(*key, "parameter").distinct(),
     }

@@ -156,7 +156,8 @@ def _starts(column: str, answer: str) -> Column:
 def uncertainty_profile(registry: DataFrame) -> DataFrame:
     """Per model and source of uncertainty: present, data driven, propagated, assimilated.
 
-    ``present`` is true, false or Unknown as text. Registrations without a model type are Unknown throughout.
+    ``present`` is true, false or Unknown as text. Registrations without a model type are Unknown throughout and have
+    no entry for parameters.
     """
     true, false, unknown = F.lit("true"), F.lit("false"), F.lit(UNKNOWN)
     yes_no = F.lit(True), F.lit(False)
@@ -223,7 +224,9 @@ def uncertainty_profile(registry: DataFrame) -> DataFrame:
         structure,
         estimated("random_effects", "random_effects"),
     ]
-    return rows.select("model_id", F.explode(F.array(*sources)).alias("s")).select("model_id", "s.*")
+    listed = rows.select("model_id", "model_type", F.explode(F.array(*sources)).alias("s"))
+    listed = listed.where(F.col("model_type").isNotNull() | (F.col("s.source") != "parameters"))
+    return listed.select("model_id", "s.*")
 
 
 def profile_documents(registry: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ _HOLES = "SELECT * REPLACE (CASE WHEN model_id = 'm1' THEN NULL ELSE crps END AS
 
 
 @query(
-    "missing_score_guard",
+    "missing_scores",
     "scores",
     f"""SELECT variable, model_id, count(*) AS n FROM ({_HOLES}) s GROUP BY variable, model_id
         HAVING count(crps) = 0""",
@@ -143,6 +143,12 @@ def _(inp):
     return boards.missing_scores(holes, ["variable", "model_id"])
 
 
+@query("missing_score_guard", "scores", "SELECT * FROM scores")
+def _(inp):
+    # the guard lets a complete table pass; that it stops others is tested by itself
+    return boards.missing_score_guard(inp.scores)
+
+
 @query(
     "earliest_reference",
     "scores",
@@ -204,16 +210,25 @@ def _(inp):
     return boards.variable_table(inp.targets, inp.allowed)
 
 
+#: Not all sites are registered.
+_REGISTERED = "SELECT field_site_id FROM sites WHERE latitude < 50"
+_REPORTED = f"duration IN ('P1D', 'P1W') AND site_id IN ({_REGISTERED})"
+
+
+def _registered(inp):
+    return inp.sites.where(F.col("latitude") < 50)
+
+
 @query(
     "submissions_per_month",
-    "forecasts",
-    """SELECT CAST(date_trunc('month', reference_datetime) AS TIMESTAMP) AS month, count(*) AS n
-       FROM (SELECT DISTINCT model_id, variable, duration, reference_datetime FROM forecasts) f
+    "scores sites",
+    f"""SELECT CAST(date_trunc('month', reference_datetime) AS TIMESTAMP) AS month, count(*) AS n
+       FROM (SELECT DISTINCT model_id, variable, duration, reference_datetime, site_id FROM scores WHERE {_REPORTED}) f
        WHERE reference_datetime >= TIMESTAMP '2023-12-01 00:00:00'
          AND reference_datetime < TIMESTAMP '2025-02-01 00:00:00' GROUP BY 1""",
 )
 def _(inp):
-    return boards.submissions_per_month(inp.forecasts, _at("2023-12-01 00:00:00"), _at("2025-02-01 00:00:00"))
+    return boards.submissions_per_month(inp.scores, _registered(inp), _at("2023-12-01 00:00:00"), _at("2025-02-01 00:00:00"))
 
 
 _COUNT_SUBMISSIONS = "count(DISTINCT (model_id, reference_datetime, variable, duration, site_id))"
@@ -232,27 +247,29 @@ def _counts_sql() -> str:
             f"SELECT variable, '{kind}' AS kind, {text} AS n, CASE WHEN variable = 'view' THEN 'weekly' ELSE 'daily' "
             f"END AS frequency, CAST(NULL AS DOUBLE) AS per_month FROM s GROUP BY variable"
         )
-        parts.append(f"SELECT 'all', '{kind}', {text}, CAST(NULL AS VARCHAR), {month} FROM s")
-    return "WITH s AS (SELECT * FROM scores WHERE variable NOT IN ('signup')) " + " UNION ALL ".join(parts)
+        every = "every" if kind == "models" else "s"
+        parts.append(f"SELECT 'all', '{kind}', {text}, CAST(NULL AS VARCHAR), {month} FROM {every}")
+    inputs = f"every AS (SELECT * FROM scores WHERE {_REPORTED}), s AS (SELECT * FROM every WHERE variable <> 'signup')"
+    return f"WITH {inputs} " + " UNION ALL ".join(parts)
 
 
-@query("submission_counts", "scores", _counts_sql(), "per_month")
+@query("submission_counts", "scores sites", _counts_sql(), "per_month")
 def _(inp):
-    return boards.submission_counts(inp.scores, ["view"], 48, ["signup"])
+    return boards.submission_counts(inp.scores, _registered(inp), ["view"], 48, ["signup"])
 
 
 @query(
     "total_rows",
-    "targets scores forecasts",
-    """WITH c AS (
+    "targets scores forecasts sites",
+    f"""WITH c AS (
          SELECT 'targets' AS kind, count(*) AS n FROM targets
-         WHERE datetime < TIMESTAMP '2024-01-25 00:00:00' AND observation IS NOT NULL
+         WHERE datetime < TIMESTAMP '2024-01-25 00:00:00' AND observation IS NOT NULL AND {_REPORTED}
          UNION ALL SELECT 'scored', count(*) FROM (SELECT DISTINCT reference_datetime, model_id, variable, duration,
-           datetime, site_id FROM scores WHERE duration IN ('P1D', 'P1W')
+           datetime, site_id FROM scores WHERE {_REPORTED}
            AND reference_datetime >= TIMESTAMP '2023-12-15 00:00:00'
            AND reference_datetime < TIMESTAMP '2025-02-01 00:00:00') a
          UNION ALL SELECT 'members', count(*) FROM (SELECT DISTINCT reference_datetime, model_id, variable, duration,
-           datetime, site_id, parameter FROM forecasts WHERE duration IN ('P1D', 'P1W')
+           datetime, site_id, parameter FROM forecasts WHERE {_REPORTED}
            AND reference_datetime >= TIMESTAMP '2023-12-15 00:00:00'
            AND reference_datetime < TIMESTAMP '2025-02-01 00:00:00') b)
        SELECT kind, n FROM c UNION ALL SELECT 'total', CAST(sum(n) AS BIGINT) FROM c""",
@@ -262,6 +279,7 @@ def _(inp):
         inp.targets,
         inp.scores,
         inp.forecasts,
+        _registered(inp),
         _at("2024-01-25 00:00:00"),
         _at("2023-12-15 00:00:00"),
         _at("2025-02-01 00:00:00"),

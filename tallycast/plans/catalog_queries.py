@@ -111,15 +111,26 @@ def _(inp):
     return ops.site_features(inp.sites)
 
 
-@query("column_descriptions", "")
+_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_SPARK_TYPES = "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END"
+_DESCRIBED = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, concat(CAST(min({c}) AS VARCHAR), ' to ', CAST(max({c}) AS VARCHAR)) AS description FROM orders" for c in _ORDERS
+)
+
+
+@query(
+    "column_descriptions",
+    "",
+    f"""SELECT name, CAST(column_index AS INTEGER) AS position, {_SPARK_TYPES} AS type, description
+        FROM (SELECT column_name AS name, row_number() OVER (ORDER BY column_index) - 1 AS column_index, data_type
+              FROM duckdb_columns() WHERE table_name = 'orders' AND column_name IN ({", ".join(repr(c) for c in _ORDERS)})) c
+        JOIN ({_DESCRIBED}) d USING (name)""",
+)
 def _(inp):
-    # described by the first and last value each column's text takes
-    table = inp.orders
-    dictionary = None
-    for name in table.columns:
-        text = F.concat_ws(" to ", F.min(name).cast("string"), F.max(name).cast("string"))
-        one = table.agg(text.alias("description")).withColumn("name", F.lit(name))
-        dictionary = one if dictionary is None else dictionary.unionByName(one)
+    # described by the first and last value each column takes: one scan, then a row per column
+    table = inp.orders.select(*_ORDERS)
+    ends = table.agg(*[F.concat_ws(" to ", F.min(c).cast("string"), F.max(c).cast("string")).alias(c) for c in _ORDERS])
+    dictionary = ends.unpivot([], _ORDERS, "name", "description")
     return ops.column_descriptions(inp.spark, table, dictionary)
 
 
@@ -161,7 +172,8 @@ def _profile_sql() -> str:
                 f"CASE WHEN {assumed} THEN false WHEN parameters = 'Yes' THEN true END",
                 "parameters = 'Yes'",
                 update,
-            ),
+            )
+            + " WHERE model_type IS NOT NULL",
             entry(
                 "drivers",
                 "CASE WHEN drivers = 'Yes' OR (drivers = 'No' AND uses_drivers = 'Yes') THEN 'true' WHEN drivers = 'No' THEN 'false' "
