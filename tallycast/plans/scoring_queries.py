@@ -9,7 +9,9 @@ from tallycast.functions.timing import ntz
 from tallycast.operators import boards, scoring
 from tallycast.plans.registry import query
 from tallycast.plans.sqltext import GROUP, STATS, pdf, phi, sample_scores, wide
-from tallycast.schema import FAMILY_PARAMETERS, SCORE_GROUP
+from tallycast.schema import BUNDLE_PARTITIONS, FAMILY_PARAMETERS, SCORE_GROUP
+from tallycast.session import shared_folder
+from tallycast.sources import tables
 
 CUTOFF = "2024-01-03 00:00:00"
 _cutoff = lambda: ntz(F.lit(CUTOFF))
@@ -256,6 +258,21 @@ def _(inp):
     return scoring.score_upsert(inp.scores_old, new)
 
 
+@query(
+    "score_upsert_write",
+    "scores scores_old",
+    f"""SELECT * FROM scores_old WHERE datetime < TIMESTAMP '2024-01-10 00:00:00' UNION ALL {_REVISED}""",
+)
+def _(inp):
+    # the score table on disk; the delivery comes twice (a replay), and only its partitions are rewritten
+    new = inp.scores.where(F.col("datetime") >= ntz(F.lit("2024-01-10 00:00:00"))).withColumn("crps", F.col("crps") + 1)
+    folder = f"{shared_folder(inp.spark, 'score-table')}/parquet"
+    tables.write_bundle(inp.scores_old, folder)
+    for _ in range(2):
+        tables.merge_partitions(new, folder, BUNDLE_PARTITIONS, lambda rows, old: scoring.score_upsert(old, rows))
+    return tables.read_dataset(inp.spark, folder, new.schema)
+
+
 @query(
     "score_checks",
     "scores",

@@ -9,7 +9,7 @@ from tallycast.operators import scoring
 from tallycast.operators import submissions as ops
 from tallycast.plans.registry import query
 from tallycast.plans.sqltext import GROUP, STATS, sample_scores
-from tallycast.schema import FORECASTS, STATS as STAT_COLUMNS
+from tallycast.schema import BUNDLE_PARTITIONS, FORECASTS, STATS as STAT_COLUMNS
 from tallycast.session import shared_folder
 from tallycast.sources import tables
 
@@ -206,6 +206,23 @@ def _(inp):
     return ops.bundle_forecasts(*_deliveries(inp))
 
 
+@query(
+    "bundle_write",
+    "forecasts",
+    f"""SELECT * FROM ({_OLD}) o UNION SELECT * FROM ({_NEW}) n
+        WHERE model_id IS NOT NULL AND parameter IS NOT NULL AND prediction IS NOT NULL""",
+)
+def _(inp):
+    # the bundle on disk, merged with a delivery twice (a replay)
+    new, old = _deliveries(inp)
+    folder = f"{shared_folder(inp.spark, 'bundle')}/parquet"
+    tables.write_bundle(old, folder)
+    complete = new.where(F.col("model_id").isNotNull())
+    for _ in range(2):
+        tables.merge_partitions(complete, folder, BUNDLE_PARTITIONS, ops.bundle_forecasts)
+    return tables.read_dataset(inp.spark, folder, new.schema)
+
+
 @query(
     "bundle_summaries",
     "scores scores_old",

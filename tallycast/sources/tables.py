@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +100,34 @@ def write_bundle(df: DataFrame, path: str, **kwargs) -> None:
     write_partitioned(df, path, BUNDLE_PARTITIONS, **kwargs)
 
 
+def merge_partitions(new: DataFrame, folder: str, columns: list[str], merge) -> None:
+    """Merge a delivery into a stored dataset; only partitions it touches are read and replaced.
+
+    ``merge(new, old)`` gives the new content of those partitions. It is written to a folder beside first and then
+    swapped in partition by partition, so a run that breaks off leaves old or new partitions, never half ones, and a run
+    that is repeated with the same delivery gives the same dataset if ``merge`` does.
+    """
+    spark = new.sparkSession
+    touched = new.select(*columns).distinct()
+    if not folder_exists(spark, folder):
+        write_partitioned(merge(new, new.limit(0)), folder, columns)
+        return
+    old = spark.read.schema(new.schema).parquet(folder)
+    # names of partitions, which are folders that the driver lists anyway, prune the scan; the join is exact
+    names = touched.collect()
+    for c in columns:
+        values = {r[c] for r in names}
+        if None not in values:
+            old = old.where(F.col(c).isin(*values))
+    old = old.join(touched.withColumnsRenamed({c: f"_t_{c}" for c in columns}), [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns], "left_semi")
+    stage = f"{folder.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    write_partitioned(merge(new, old.select(*new.columns)), stage, columns)
+    staged = spark.read.schema(new.schema).parquet(stage)
+    write_partitioned(staged.select(*new.columns), folder, columns)
+    place = spark._jvm.org.apache.hadoop.fs.Path(stage)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     """Whether a store that Spark reads has the path."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
