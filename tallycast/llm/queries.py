@@ -138,3 +138,51 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score_table(docs, model)
+
+
+ORACLES["op2_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])) END) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+r AS (SELECT doc_id, doc_id AS reach FROM w UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON n.doc_id = c.doc_id
+"""
+
+ORACLES["op3_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id, vec_id AS reach FROM v UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id
+"""
+
+ORACLES["op4_line_dedup"] = r"""
+WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+raw AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM t),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM raw),
+l AS (SELECT *, lead(line) OVER o AS line2, lead(line, 2) OVER o AS line3, lead(words) OVER o AS words2 FROM counted
+      WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+runs AS (SELECT doc_id, pos, 1 AS n, [line] AS run FROM l WHERE words >= 50
+         UNION ALL SELECT doc_id, pos, 2, [line, line2] FROM l WHERE line2 IS NOT NULL AND words + words2 >= 50
+         UNION ALL SELECT doc_id, pos, 3, [line, line2, line3] FROM l WHERE line3 IS NOT NULL),
+later AS (SELECT doc_id, pos, n FROM runs QUALIFY row_number() OVER (PARTITION BY n, run ORDER BY doc_id, pos) > 1),
+gone AS (SELECT DISTINCT doc_id, pos FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS pos FROM later) x),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS left_text FROM raw ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
+told AS (SELECT doc_id, count(*) AS n_deleted, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS deleted FROM gone GROUP BY doc_id),
+diagonals AS (SELECT a.doc_id, a.pos, b.doc_id AS other, a.pos - b.pos AS shift FROM raw a JOIN raw b
+              ON a.line = b.line AND (a.doc_id <> b.doc_id OR a.pos <> b.pos)),
+stretches AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY pos) AS stretch FROM diagonals),
+longest AS (SELECT doc_id, max(n) AS longest_run FROM (SELECT doc_id, count(*) AS n FROM stretches GROUP BY doc_id, other, shift, stretch) x
+            GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_deleted, 0) AS n_deleted, coalesce(deleted, '') AS deleted,
+       coalesce(longest_run, 0) AS longest_run, sha256(coalesce(left_text, '')) AS left_sha256
+FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN told USING (doc_id) LEFT JOIN longest USING (doc_id)
+"""
