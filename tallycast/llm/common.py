@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.session import cut_lineage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Hash buckets per group of a prefix sum, as a power of two. A group with a third of 10^11 rows then has
 #: 8 million rows in a bucket, of which only key and amount are sorted.
 BUCKET_BITS = 12
 
+#: Rows of an Arrow batch that Python works on at once. A batch has 10,000, and as Python objects they take several
+#: times their bytes.
+ROWS_AT_ONCE = 500
+
+
+def in_slices(batches, rows: int = ROWS_AT_ONCE):
+    """The batches in slices that share their memory; what Arrow holds besides is given back in between."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
 
 def stored_rows(docs: DataFrame, purpose: str, **extra: Column) -> DataFrame:
     """``docs`` written to the shared folder as ``row_id``, ``row`` (all columns of docs) and the ``extra`` columns.

@@ -23,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycast.llm.common import in_slices
 from tallycast.llm.graph import components
 from tallycast.session import cut_lineage
 
@@ -31,9 +32,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: A pair at 85 % misses all 32 bands of 6 with probability 3e-7; one at 20 % meets in one with 2e-3.
 BANDS, ROWS = 32, 6
 #: Nodes and shingles of a tile.
-TILE_NODES, TILE_SHINGLES = 512, 2_000_000
+TILE_NODES, TILE_SHINGLES = 256, 500_000
 #: Distinct words whose hashes a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 class _Words(dict):
@@ -111,19 +112,16 @@ def _sketch(width: int, bands: int, rows: int):
 
     def run(batches):
         words = _Words()
-        for batch in batches:
-            texts = batch.column(3).cast(pa.binary()).to_pylist()
-            for at in range(0, len(texts), 1000):
-                sets = [shingle_set(t, words, width) for t in texts[at : at + 1000]]
-                full = [k for k, s in enumerate(sets) if len(s)]
-                keys = band_keys(sketches([sets[k] for k in full], bands * rows), bands, rows)
-                found: list = [None] * len(sets)
-                for k, row in zip(full, keys):
-                    found[k] = row
-                digest = [hashlib.sha256(s.tobytes()).digest() if len(s) else None for s in sets]
-                part = batch.slice(at, len(sets))
-                made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), *made], fields)
+        for batch in in_slices(batches):
+            sets = [shingle_set(t, words, width) for t in batch.column(3).cast(pa.binary()).to_pylist()]
+            full = [k for k, s in enumerate(sets) if len(s)]
+            keys = band_keys(sketches([sets[k] for k in full], bands * rows), bands, rows)
+            found: list = [None] * len(sets)
+            for k, row in zip(full, keys):
+                found[k] = row
+            digest = [hashlib.sha256(s.tobytes()).digest() if len(s) else None for s in sets]
+            made = [pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *made], fields)
 
     return run
 

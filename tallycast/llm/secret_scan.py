@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallycast.llm.common import in_slices
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: In the order in which spans with one start are listed; the first three are the base kinds.
@@ -193,7 +195,7 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
 
 def _scan(batches):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    for batch in batches:
+    for batch in in_slices(batches):
         made = [[{"kind": k, "start": a, "end": b} for a, b, k in spans(t)] for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, kind)], ["row", "spans"])
 

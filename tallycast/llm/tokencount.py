@@ -17,6 +17,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycast.llm.common import in_slices
 from tallycast.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Pre-tokens in the list that goes to every task, and the longest of them in characters: 16 MB at most.
 FREQUENT, FREQUENT_CHARS = 262_144, 16
 #: Distinct pre-tokens a task holds before it passes its counts on.
-HELD = 300_000
+HELD = 200_000
 #: Frequencies are told apart by powers of 2 ** (1 / 8) when the list is chosen.
 STEPS = 8
 _SPACES = re.compile(" +[^ ]*")
@@ -74,7 +75,7 @@ class PieceCounter:
 def _distinct(batches):
     """(piece, freq) of a task's texts, held in bounded memory."""
     seen: Counter = Counter()
-    for batch in batches:
+    for batch in in_slices(batches):
         for text in batch.column(0).to_pylist():
             if text:
                 seen.update(pre_tokens(text))
@@ -105,7 +106,7 @@ def _per_document(frequent):
     def run(batches):
         known_pieces = frequent.value
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[tuple] = []
             for text, doc_id in zip(texts, ids):
@@ -120,7 +121,7 @@ def _per_document(frequent):
                             total += n * freq
                 out.append((row, f"\x00 {row}", None, total, len(text.encode("utf-8")), doc_id))
                 row += 1
-                if len(out) > 100_000:
+                if len(out) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
                     out = []
             if out:

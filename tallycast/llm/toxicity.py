@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType
 
+from tallycast.llm.common import in_slices
 from tallycast.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -37,7 +38,8 @@ TERMS, LEAST_TEXTS, LEAST_LIFT, LEAST_EVIDENCE = 120, 4, 4.0, 22.0
 ROUNDS = 8
 #: Scores from here on are toxic.
 THRESHOLD = 0.3
-HELD = 400_000
+#: Words or terms a task remembers.
+HELD = 150_000
 
 _EDGE = ".,;:!?\"'()[]{}<>*#$%&|/\\~`^_+=-"
 _SHOUT = re.compile("!!|[?!]{3}")
@@ -109,7 +111,7 @@ def _term_counts(batches):
         terms = list(toxic.keys() | clean.keys())
         return pa.RecordBatch.from_pydict({"term": terms, "toxic": [toxic[t] for t in terms], "clean": [clean[t] for t in terms]})
 
-    for batch in batches:
+    for batch in in_slices(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             seen = {t for w in set((text or "").lower().split()) for t in terms_of(w)}
             (toxic if label else clean).update(seen)
