@@ -42,6 +42,15 @@ def stored_rows(docs: DataFrame, purpose: str, **extra: Column) -> DataFrame:
     return cut_lineage(rows, purpose)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that no later step reads."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def hash_bucket(key: str, bits: int = BUCKET_BITS) -> Column:
     """The leading bits of a 64-bit hash: rows of one bucket are ordered among themselves by the hash itself."""
     return F.shiftrightunsigned(F.col(key), 64 - bits)

@@ -18,7 +18,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import numbered, stored_rows
+from tallycast.llm.common import discard, numbered, stored_rows
 from tallycast.llm.mixing import word_count
 from tallycast.session import cut_lineage
 
@@ -35,14 +35,16 @@ def shared_lines(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
 
     ``rank`` is the number of shared lines with a smaller id. A line's id is a 128-bit hash of it.
     """
-    text = F.col(f"`{text_col}`")
-    rows = stored_rows(docs, "line-rows", doc_id=F.col(f"`{id_col}`"), text=text)
-    each = rows.select("row_id", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    rows = stored_rows(docs, "line-rows")
+    text = F.col(f"row.`{text_col}`")
+    each = rows.select("row_id", F.col(f"row.`{id_col}`").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     each = each.select("row_id", "doc_id", "pos", F.xxhash64("line").alias("x"), F.xxhash64(F.lit(4), "line").alias("y"), word_count(F.col("line")).alias("words"))
     each = cut_lineage(each, "line-ids")
     shared = each.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = cut_lineage(numbered(shared, ["x", "y"], "line-order", F.col("n")).select("x", "y", F.col("position").alias("rank")), "line-ranks")
-    return rows, cut_lineage(each.join(shared, ["x", "y"]).drop("x", "y"), "line-shared")
+    found = cut_lineage(each.join(shared, ["x", "y"]).drop("x", "y"), "line-shared")
+    discard(each)
+    return rows, found
 
 
 def _parted(batches):
@@ -108,7 +110,7 @@ def suffix_array(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
     levels, h = {}, 1
     while not opened.isEmpty():
         ranks = closed.select("row_id", "pos", "rank").unionByName(opened.select("row_id", "pos", "rank"))
-        levels[h] = ranks
+        levels[h] = opened.select("row_id", "pos", "rank")  # a rank of one's own equals no other
         ahead = ranks.select("row_id", (F.col("pos") - h).cast("int").alias("pos"), F.col("rank").alias("after"))
         pairs = opened.select("row_id", "pos", "rank").join(ahead, ["row_id", "pos"], "left")
         order = ["rank", F.col("after").asc_nulls_first(), "row_id", "pos"]
@@ -123,6 +125,7 @@ def suffix_array(shared: DataFrame) -> tuple[DataFrame, DataFrame]:
         is_bound = (F.col("own") == F.col("part")) & (F.col("part") > F.col("group"))
         parted = parted.select("row_id", "pos", (F.col("rank") + F.col("part") - F.col("group")).alias("rank"), (~single).alias("open"), is_bound.alias("is_bound"))
         parted = cut_lineage(parted, f"suffix-{2 * h}")
+        discard(ranges)
         bounds = bounds.unionByName(parted.filter("is_bound").select("rank", F.lit(h).cast("long").alias("level")))
         closed = closed.unionByName(parted.filter("NOT open").drop("is_bound"))
         opened = parted.filter("open").drop("is_bound")
@@ -185,6 +188,8 @@ def later_copies(shared: DataFrame, run_lines: int = RUN_LINES, run_words: int =
         first = cut_lineage(runs.groupBy("interval").agg(F.min("at").alias("first")), f"runs-first-{depth}")
         later = runs.join(first, "interval").filter("at <> first")
         later = later.select("at.row_id", F.explode(F.sequence(F.col("at.pos"), F.col("at.pos") + (depth - 1))).alias("pos"))
+        later = cut_lineage(later.distinct(), f"runs-later-{depth}")
+        discard(runs)
         gone = later if gone is None else gone.unionByName(later)
     return cut_lineage(gone.distinct(), "lines-gone"), found.select("row_id", "pos", "longest")
 
@@ -203,8 +208,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     told = cut_lineage(longest.join(per_row, "row_id", "left"), "lines-told")
     # by key at every size, as a large corpus needs it
     out = rows.join(told.hint("merge"), "row_id", "left")
-    lines = F.split("text", "\n")
-    out = out.withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>")))
+    text = F.col(f"row.`{text_col}`")
+    lines = F.split(text, "\n")
+    out = out.withColumn("text", text).withColumn("deleted", F.coalesce("deleted", F.array().cast("array<int>")))
     kept = F.expr("array_join(filter(split(text, '\n'), (line, i) -> NOT array_contains(deleted, i)), '\n')")
     return out.select(
         "row",
