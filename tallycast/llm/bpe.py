@@ -1,9 +1,9 @@
 """Byte-level BPE by a rank queue with a hierarchical bitmap.
 
 A pre-token starts as a linked list of bytes. Every pair that the vocabulary can merge waits in the bucket of its
-rank. A bitmap over the ranks, with words of 64 bits on each level, names the lowest rank that has something waiting
-by a few find-first-set steps. Entries whose pair is gone by the time they come up are skipped. A pre-token of n bytes
-costs O(n log n), so very long ones are no danger.
+rank. A bitmap over the ranks, words of 256 bits under one word that says which are not empty, names the lowest rank
+with something waiting by two find-first-set steps. Entries whose pair is gone by the time they come up are skipped.
+A pre-token of n bytes costs O(n log n), so very long ones are no danger.
 """
 
 from __future__ import annotations
@@ -22,25 +22,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallycast.llm.common import in_slices
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Pre-tokens remembered by a task, and the longest that is.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 48
+#: Pre-tokens remembered by a task in each of two generations, and the longest that is.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 48
 #: Matches held at once for one text.
 MATCHES_AT_ONCE = 1 << 20
-_WORD = (1 << 64) - 1
+_BITS = [1 << k for k in range(256)]
 
 
 class RankQueue:
-    """Positions waiting by rank; ``pop`` gives the leftmost of the lowest rank."""
+    """Positions waiting by rank; ``pop`` gives the leftmost of the lowest rank.
+
+    ``Codec.merge`` has the same steps written out, as they are its inner loop.
+    """
 
     def __init__(self, ranks: int):
-        self.levels = []
-        while True:
-            ranks = (ranks + 63) // 64
-            self.levels.append([0] * ranks)
-            if ranks <= 1:
-                break
+        self.words = [0] * (ranks + 255 >> 8)
+        self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
@@ -49,32 +50,24 @@ class RankQueue:
             heapq.heappush(waiting, position)
             return
         self.buckets[rank] = [position]
-        k = rank
-        for level in self.levels:
-            k, bit = k >> 6, k & 63
-            was = level[k]
-            level[k] = was | 1 << bit
-            if was:
-                break
+        self.words[rank >> 8] |= _BITS[rank & 255]
+        self.top |= 1 << (rank >> 8)
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.buckets:
+        if not self.top:
             return None
-        k = 0
-        for level in reversed(self.levels):
-            word = level[k]
-            k = k << 6 | (word & -word).bit_length() - 1
-        waiting = self.buckets[k]
+        k = (self.top & -self.top).bit_length() - 1
+        word = self.words[k]
+        bit = word & -word
+        rank = (k << 8) + bit.bit_length() - 1
+        waiting = self.buckets[rank]
         position = heapq.heappop(waiting)
         if not waiting:
-            del self.buckets[k]
-            at = k
-            for level in self.levels:
-                at, bit = at >> 6, at & 63
-                level[at] &= _WORD ^ (1 << bit)
-                if level[at]:
-                    break
-        return k, position
+            del self.buckets[rank]
+            self.words[k] = word ^ bit
+            if word == bit:
+                self.top ^= 1 << k
+        return rank, position
 
 
 class Codec:
@@ -90,29 +83,51 @@ class Codec:
         ascii_pattern = re.sub(r" \?(A-Za-z|0-9)\+", r" ?[\1]+", ascii_pattern)
         self.ascii_pattern = re.compile(ascii_pattern.replace(r"\s", r"[\t-\r ]"), re.ASCII)
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
+        get = self.ranks.get
+        whole = get(piece)
         if whole is not None:
             return [whole]
-        n, get, queue = len(piece), self.ranks.get, self.queue
-        ends = list(range(1, n + 1)) + [n]  # where the token at a position ends
+        n = len(piece)
+        words, buckets, top, bits = self.queue.words, self.queue.buckets, 0, _BITS
+        ends = list(range(1, n + 1))  # where the token at a position ends
+        ends.append(n)
         before = list(range(-1, n))
         waiting = [-1] * (n + 1)  # the rank of the pair that starts at a position
         for i in range(n - 1):
             rank = get(piece[i : i + 2])
             if rank is not None:
                 waiting[i] = rank
-                queue.push(rank, i)
-        while (found := queue.pop()) is not None:
-            rank, i = found
+                there = buckets.get(rank)
+                if there is None:
+                    buckets[rank] = [i]
+                    words[rank >> 8] |= bits[rank & 255]
+                    top |= 1 << (rank >> 8)
+                else:
+                    there.append(i)  # positions come in order
+        while top:
+            k = (top & -top).bit_length() - 1
+            word = words[k]
+            bit = word & -word
+            rank = (k << 8) + bit.bit_length() - 1
+            there = buckets[rank]
+            if len(there) > 1:
+                i = heapq.heappop(there)
+            else:
+                i = there[0]
+                del buckets[rank]
+                words[k] = word ^ bit
+                if word == bit:
+                    top ^= 1 << k
             if waiting[i] != rank:
                 continue
             gone = ends[i]
             end = ends[i] = ends[gone]
             waiting[gone] = -1
             before[end] = i
-            for a in (i, before[i]):
+            for a in (before[i], i):
                 if a < 0:
                     continue
                 middle = ends[a]
@@ -121,17 +136,28 @@ class Codec:
                     waiting[a] = -1
                 elif waiting[a] != rank:
                     waiting[a] = rank
-                    queue.push(rank, a)
+                    there = buckets.get(rank)
+                    if there is None:
+                        buckets[rank] = [a]
+                        words[rank >> 8] |= bits[rank & 255]
+                        top |= 1 << (rank >> 8)
+                    else:
+                        heapq.heappush(there, a)
         ids, i = [], 0
         while i < n:
-            ids.append(self.ranks[piece[i : ends[i]]])
-            i = ends[i]
+            end = ends[i]
+            ids.append(get(piece[i:end]))
+            i = end
         return ids
 
     def _ids_of(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.merge(piece.encode("utf-8")))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(self.merge(piece.encode("utf-8")))
         if len(piece) <= REMEMBERED_CHARS:
             if len(self.memo) >= REMEMBERED:
+                # what has not been met since the last change of generations is forgotten
+                self.older = dict(self.memo)
                 self.memo.clear()
             self.memo[piece] = ids
         return ids
@@ -161,32 +187,60 @@ def _codec(vocabulary: bytes, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
-def _batches(kept: list[str], column: str, convert: Callable, kind: pa.DataType) -> Callable:
+def _apply(df: DataFrame, column: str, keep: list[str], made: dict[str, tuple[T.DataType, pa.DataType]], convert: Callable) -> DataFrame:
+    """The columns ``keep`` of ``df`` and what ``convert()`` makes of each value of ``column``, one Python pass for all."""
+
     def run(batches):
         work = convert()
-        for batch in batches:
-            made = pa.array([work(x) for x in batch.column(column).to_pylist()], type=kind)
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [made], names=[*kept, "made"])
-
-    return run
+        for batch in in_slices(batches):
+            values = zip(*[work(x) for x in batch.column(1).to_pylist()]) if batch.num_rows else [[] for _ in made]
+            arrays = [pa.array(list(v), type=kind) for v, (_, kind) in zip(values, made.values())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["row", *[f"made_{k}" for k in range(len(made))]])
+
+    given = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{column}`").alias("given"))
+    fields = [T.StructField(f"made_{k}", kind) for k, (kind, _) in enumerate(made.values())]
+    out = given.mapInArrow(run, T.StructType([given.schema["row"], *fields]))
+    return out.select("row.*", *[F.col(f"made_{k}").alias(name) for k, name in enumerate(made)])
+
+
+_IDS = (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))
+_BYTES = (T.BinaryType(), pa.binary())
+_FLAG = (T.BooleanType(), pa.bool_())
+
+
+def encode(
+    df: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text_col: str = "text",
+    out: str = "ids",
+    keep: list[str] | None = None,
+    decoded: str | None = None,
+    checked: str | None = None,
+) -> DataFrame:
+    """The columns ``keep`` (all unless named) with the token ids of ``text_col`` in ``out`` (array of int).
 
+    ``vocabulary`` is a file of base64 tokens and ranks, ``pattern`` splits a text into pre-tokens. Special tokens are
+    ordinary text. Null and empty texts have no ids. Other columns, null or repeated, pass as they are; one that is named
+    like a result is replaced by it. ``decoded`` names a column for the bytes that the ids stand for, ``checked`` one
+    that says whether these are the text's; both are decoded in the same pass.
+    """
+    data = read_ranks(vocabulary)
+    made = {out: _IDS} | ({decoded: _BYTES} if decoded else {}) | ({checked: _FLAG} if checked else {})
 
-def _apply(df: DataFrame, column: str, out: str, kind: T.DataType, arrow: pa.DataType, convert: Callable) -> DataFrame:
-    """``df`` with column ``out``, all else kept as it is."""
-    rest = df.select(F.struct(*[c for c in df.columns if c != out]).alias("row"), F.col(f"`{column}`").alias("given"))
-    schema = T.StructType([rest.schema["row"], T.StructField("made", kind)])
-    made = rest.mapInArrow(_batches(["row"], "given", convert, arrow), schema)
-    return made.select("row.*", F.col("made").alias(out))
+    def convert():
+        codec = _codec(data, pattern)
 
+        def work(text):
+            ids = codec.encode(text)
+            if len(made) == 1:
+                return (ids,)
+            back = codec.decode(ids)
+            return (ids, *([back] if decoded else []), *([back == (text or "").encode("utf-8")] if checked else []))
 
-def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with the token ids of ``text_col`` in ``out`` (array of int), which replaces a column of that name.
+        return work
 
-    ``vocabulary`` is a file of base64 tokens and ranks, ``pattern`` splits a text into pre-tokens. Special tokens are
-    ordinary text. Null and empty texts have no ids. Other columns, null or repeated, pass as they are.
-    """
-    data = read_ranks(vocabulary)
-    return _apply(df, text_col, out, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()), lambda: _codec(data, pattern).encode)
+    return _apply(df, text_col, [c for c in (keep or df.columns) if c not in made], made, convert)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -195,6 +249,6 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
 
     def convert():
         codec = _codec(data, "")
-        return lambda ids: codec.decode(ids or ())
+        return lambda ids: (codec.decode(ids or ()),)
 
-    return _apply(df, ids_col, out, T.BinaryType(), pa.binary(), convert)
+    return _apply(df, ids_col, [c for c in df.columns if c != out], {out: _BYTES}, convert)

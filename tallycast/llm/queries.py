@@ -107,9 +107,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM n
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, and the ids decoded again."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
-    both = bpe.decode(encoded, vocabulary)
+    docs = documents(spark, sf_dir)
+    both = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, keep=["doc_id"], decoded="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -110,7 +110,7 @@ def test_rank_queue():
     got = []
     while (x := queue.pop()) is not None:
         got.append(x)
-    assert got == sorted(pushed) and not any(map(any, queue.levels))
+    assert got == sorted(pushed) and not queue.top and not any(queue.words) and not queue.buckets
 
 
 def test_bpe_tables(spark, theirs):
