@@ -29,8 +29,8 @@ from tallycast.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Labelled rows the lexicon is chosen from, and vote patterns the classifier is fitted on, at most (in expectation).
-LABELLED_SAMPLE, PATTERN_SAMPLE = 20_000, 20_000
+#: Labelled rows the lexicon is chosen from, at most (in expectation).
+LABELLED_SAMPLE = 20_000
 #: Lexicon voters; in how many toxic texts a term must be, how much more often there than among clean ones, and how
 #: unlikely that is by chance (log-likelihood ratio; some 10^5 terms are tried).
 TERMS, LEAST_TEXTS, LEAST_LIFT, LEAST_EVIDENCE = 120, 4, 4.0, 22.0
@@ -188,13 +188,25 @@ def _expected(model: LabelModel, n: int):
             full = np.hstack([votes, np.ones((len(votes), 1))])
             for k, share in enumerate((toxic, 1 - toxic)):
                 total[k] += full.T @ (full * (count * share)[:, None])
-        cells = total.ravel()
-        which = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_pydict({"cell": which, "total": cells[which]})
+        yield _cells(total)
 
     return run
 
 
+def _cells(total: np.ndarray) -> pa.RecordBatch:
+    cells = total.ravel()
+    which = np.flatnonzero(cells)
+    return pa.RecordBatch.from_pydict({"cell": which, "total": cells[which]})
+
+
+def _summed(patterns: DataFrame, run, shape: tuple[int, ...]) -> np.ndarray:
+    """The sum over all tasks of the cells that ``run`` makes of a task's patterns."""
+    sums = patterns.mapInArrow(run, "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).toArrow()
+    total = np.zeros(math.prod(shape))  # as many as the square of the number of voters
+    total[sums.column("cell").to_numpy()] = sums.column("total").to_numpy()
+    return total.reshape(shape)
+
+
 def _together(pairs: np.ndarray, n: int) -> np.ndarray:
     """Correlations of the voters within a class, 0 where a voter never or always fires."""
     rate = pairs[n, :n] / max(pairs[n, n], 1e-9)
@@ -210,11 +222,7 @@ def _label_model(patterns: DataFrame, anchor1: np.ndarray, anchor0: np.ndarray,
     rate = lambda count, of: np.clip((count + 0.5) / (of + 1), 1e-5, 1 - 1e-5)
     model = LabelModel(rate(anchor1, n_toxic), rate(anchor0, n_clean), np.clip(n_toxic / (n_toxic + n_clean), 1e-4, 0.5))
     for _ in range(ROUNDS):
-        sums = patterns.mapInArrow(_expected(model, n), "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total"))
-        pairs = np.zeros(2 * (n + 1) ** 2)
-        for r in sums.collect():  # as many as the square of the number of voters
-            pairs[r["cell"]] = r["total"]
-        pairs = pairs.reshape(2, n + 1, n + 1)
+        pairs = _summed(patterns, _expected(model, n), (2, n + 1, n + 1))
         texts = max(1.0, pairs[0, n, n] + pairs[1, n, n])
         scale = texts / (n_toxic + n_clean)
         was = model.rate1
@@ -230,24 +238,52 @@ def _label_model(patterns: DataFrame, anchor1: np.ndarray, anchor0: np.ndarray,
     return model
 
 
-def _fit_linear(votes: np.ndarray, count: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by Newton steps with a small penalty."""
+def _slopes(votes: np.ndarray, count: np.ndarray, target: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Curvature, slope (last column but one) and number (in the last) of the logistic loss at ``w``, rows weighed by ``count``."""
     x = np.hstack([votes, np.ones((len(votes), 1))])
-    weight = count / count.sum()
-    w = np.zeros(x.shape[1])
-    penalty = np.full(len(w), 1e-4)
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    out = np.zeros((len(w), len(w) + 2))
+    out[:, :-2] = (x * (count * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x
+    out[:, -2] = x.T @ (count * (p - target))
+    out[-1, -1] = count.sum()
+    return out
+
+
+def _newton(slopes, size: int) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, by Newton steps with a small penalty; ``slopes`` gives ``_slopes`` at a point."""
+    w = np.zeros(size)
+    penalty = np.full(size, 1e-4)
     penalty[-1] = 1e-8
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - target)) + penalty * w
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(curve, slope)
+        sums = slopes(w)
+        sums = sums[:, :-1] / sums[-1, -1]
+        step = np.linalg.solve(sums[:, :-1] + np.diag(penalty), sums[:, -1] + penalty * w)
         w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
     return w[:-1], float(w[-1])
 
 
+def _fit_linear(votes: np.ndarray, count: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
+    return _newton(lambda w: _slopes(votes, count, target, w), votes.shape[1] + 1)
+
+
+def _fit_patterns(patterns: DataFrame, model: LabelModel, n: int) -> tuple[np.ndarray, float]:
+    """The regression on the posteriors of all patterns; each step sums up over the stored table."""
+
+    def at(w: np.ndarray):
+        def run(batches):
+            total = np.zeros((n + 1, n + 3))
+            for batch in batches:
+                votes = _unpacked(batch.column(0).to_pylist(), n)
+                total += _slopes(votes, np.asarray(batch.column(1), dtype=np.float64), model.posterior(votes), w)
+            yield _cells(total)
+
+        return run
+
+    return _newton(lambda w: _summed(patterns, at(w.copy()), (n + 1, n + 3)), n + 1)
+
+
 def _calibrated(scores: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> tuple[float, float]:
     """Slope and base that turn log odds into the shares of toxic rows seen among labelled ones."""
     count = toxic + clean
@@ -292,9 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     patterns = docs.select(voted(text).alias("votes")).groupBy("votes").agg(F.count(F.lit(1)).alias("n"))
     patterns = cut_lineage(patterns, "toxic-votes")
     model = _label_model(patterns, anchors[0], anchors[1], n_toxic, n_clean)
-    rows = _share(patterns, F.col("votes"), PATTERN_SAMPLE).collect()
-    votes = _unpacked([r["votes"] for r in rows], n)
-    weights, base = _fit_linear(votes, np.array([r["n"] for r in rows], float), model.posterior(votes))
+    weights, base = _fit_patterns(patterns, model, n)
     slope, shift = _calibrated(labelled @ weights + base, *by_label)
     return Model(terms, slope * weights, slope * base + shift)
 

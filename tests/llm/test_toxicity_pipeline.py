@@ -3,6 +3,7 @@ import sys
 import zlib
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,29 @@ def test_held_out_labels_are_found(spark):
     assert left.columns == docs.columns and left.count() == sum(not r["predicted"] for r in got)
 
 
+def test_regression_reads_every_pattern(spark, monkeypatch):
+    rows, toxic = corpus(300)
+    docs = h.table(spark, rows)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
+    whole = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "PATTERN_SAMPLE", 5, raising=False)  # a sample of patterns would change the weights
+    again = toxicity.fit(docs, labels)
+    assert np.allclose(whole.weights, again.weights, atol=1e-6) and abs(whole.base - again.base) < 1e-6
+
+
+def test_distributed_steps_are_those_of_one_table(spark):
+    r = np.random.default_rng(4)
+    n = 4 + len(toxicity.PATTERNS)
+    votes = np.unique(r.random((3000, n)) < 0.3, axis=0).astype(float)
+    count = r.integers(1, 9, len(votes)).astype(float)
+    count[0] = 5 * count.sum()  # one pattern holds most of the texts
+    model = toxicity.LabelModel(np.linspace(0.2, 0.6, n), np.linspace(0.05, 0.3, n), 0.2)
+    table = [(bytearray(np.packbits(v.astype(np.uint8)).tobytes()), int(c)) for v, c in zip(votes, count)]
+    got = toxicity._fit_patterns(spark.createDataFrame(table, "votes binary, n long").repartition(3), model, n)
+    want = toxicity._fit_linear(votes, count, model.posterior(votes))
+    assert np.allclose(got[0], want[0], atol=1e-6) and abs(got[1] - want[1]) < 1e-6
+
+
 def test_without_labels(spark):
     docs = h.table(spark, corpus(20)[0])
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
