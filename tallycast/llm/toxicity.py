@@ -15,6 +15,7 @@ import re
 import sys
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -98,8 +99,7 @@ class Voters:
         out[first : first + 4] = hits > 0, hits > 1, hits > 3, 100 * hits >= max(1, len(words))
         if text:
             out[first + 4] = _SHOUT.search(text) is not None
-            letters = sum(map(str.isalpha, text[:2000])) if text.isupper() else 0
-            out[first + 5] = letters > 20
+            out[first + 5] = text.isupper() and sum(1 for _ in islice(filter(str.isalpha, text), 21)) > 20
         return out
 
 

@@ -73,6 +73,12 @@ def test_distributed_steps_are_those_of_one_table(spark):
     assert np.allclose(got[0], want[0], atol=1e-6) and abs(got[1] - want[1]) < 1e-6
 
 
+def test_capitals_are_looked_for_in_the_whole_text():
+    votes = lambda t: toxicity.Voters([]).votes(t)[toxicity.PATTERNS.index("capitals")]
+    assert votes("1" * 2000 + " THIS IS ALL IN CAPITAL LETTERS") and votes(" " * 50_000 + "A" * 21)
+    assert not votes("1" * 2000 + "A" * 20) and not votes("a" + "A" * 3000) and not votes("1" * 30)
+
+
 def test_without_labels(spark):
     docs = h.table(spark, corpus(20)[0])
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
