@@ -32,9 +32,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Labelled rows the lexicon is chosen from, at most (in expectation).
 LABELLED_SAMPLE = 20_000
-#: Lexicon voters; in how many toxic texts a term must be, how much more often there than among clean ones, and how
-#: unlikely that is by chance (log-likelihood ratio; some 10^5 terms are tried).
-TERMS, LEAST_TEXTS, LEAST_LIFT, LEAST_EVIDENCE = 120, 4, 4.0, 22.0
+#: In how many toxic texts a term must be, how much more often there than among clean ones, and how unlikely that is by
+#: chance (log-likelihood ratio; some 10^5 terms are tried).
+LEAST_TEXTS, LEAST_LIFT, LEAST_EVIDENCE = 4, 4.0, 22.0
+#: All such terms vote: the most telling ones each by itself, the others in this many voters of terms of like lift.
+OWN_VOTERS, SHARED_VOTERS = 480, 80
+#: Vote patterns a task unpacks at once.
+PATTERNS_AT_ONCE = 2_000
 #: Rounds of the label model at most.
 ROUNDS = 8
 #: Scores from here on are toxic.
@@ -62,9 +66,9 @@ def terms_of(word: str) -> list[str]:
 
 @dataclass
 class Model:
-    """Lexicon, weights and base of the classifier."""
+    """Lexicon (the terms of each voter), weights and base of the classifier."""
 
-    terms: list[str] = field(default_factory=list)
+    terms: list[list[str]] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(PATTERNS)))
     base: float = -20.0
 
@@ -72,8 +76,8 @@ class Model:
 class Voters:
     """Votes of a lexicon and the patterns."""
 
-    def __init__(self, terms: list[str]):
-        self.at = {t: k for k, t in enumerate(terms)}
+    def __init__(self, terms: list[list[str]]):
+        self.at = {t: k for k, own in enumerate(terms) for t in own}
         self.n = len(terms) + len(PATTERNS)
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -136,20 +140,23 @@ def _share(df: DataFrame, key: Column, most: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.lit(10), key), F.lit(1 << 20)) < int((1 << 20) * most / n))
 
 
-def _lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list:
-    """Terms far more frequent among toxic texts, the most telling first; of terms that coincide the longest."""
+def _lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[list[str]]:
+    """Terms far more frequent among toxic texts by voter, the most telling first; of terms that coincide the longest."""
     rate1, rate0 = F.col("toxic") / n_toxic, (F.col("clean") + 0.5) / (n_clean + 1)
     both = F.col("toxic") + F.col("clean")
     expected = both * (n_toxic / (n_toxic + n_clean))
     told = 2 * (F.col("toxic") * F.log(F.col("toxic") / expected) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (both - expected))).otherwise(0.0))
     often = (F.col("toxic") >= LEAST_TEXTS) & (rate1 >= LEAST_LIFT * rate0)
     chosen = counts.filter(often).withColumn("told", told).filter(F.col("told") >= LEAST_EVIDENCE)
-    out: list = []
-    for r in chosen.orderBy(F.desc("told"), F.desc(F.length("term")), "term").limit(4 * TERMS).collect():
-        twin = (k for k in out if (k["toxic"], k["clean"]) == (r["toxic"], r["clean"]))
-        if not any(r["term"][1:] in k["term"] or k["term"][1:] in r["term"] for k in twin):
-            out.append(r)
-    return out[:TERMS]
+    found: dict = {}
+    for r in chosen.orderBy(F.desc("told"), F.desc(F.length("term")), "term").collect():  # terms of the sample
+        twins = found.setdefault((r["toxic"], r["clean"]), [])
+        if not any(r["term"][1:] in k or k[1:] in r["term"] for k in twins):
+            twins.append(r["term"])
+    ordered = [(counts, t) for counts, twins in found.items() for t in twins]
+    rest = sorted(ordered[OWN_VOTERS:], key=lambda x: (x[0][0] / (x[0][1] + 0.5), x[1]))
+    shared = [rest[len(rest) * k // SHARED_VOTERS : len(rest) * (k + 1) // SHARED_VOTERS] for k in range(SHARED_VOTERS)]
+    return [[t] for _, t in ordered[:OWN_VOTERS]] + [[t for _, t in some] for some in shared if some]
 
 
 class LabelModel:
@@ -181,7 +188,7 @@ def _expected(model: LabelModel, n: int):
 
     def run(batches):
         total = np.zeros((2, n + 1, n + 1))
-        for batch in batches:
+        for batch in in_slices(batches, PATTERNS_AT_ONCE):
             votes = _unpacked(batch.column(0).to_pylist(), n)
             count = np.asarray(batch.column(1), dtype=np.float64)
             toxic = model.posterior(votes)
@@ -194,7 +201,8 @@ def _expected(model: LabelModel, n: int):
 
 
 def _cells(total: np.ndarray) -> pa.RecordBatch:
-    cells = total.ravel()
+    """What is not zero in the upper triangles of symmetric matrices."""
+    cells = np.triu(total).ravel()
     which = np.flatnonzero(cells)
     return pa.RecordBatch.from_pydict({"cell": which, "total": cells[which]})
 
@@ -204,7 +212,10 @@ def _summed(patterns: DataFrame, run, shape: tuple[int, ...]) -> np.ndarray:
     sums = patterns.mapInArrow(run, "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).toArrow()
     total = np.zeros(math.prod(shape))  # as many as the square of the number of voters
     total[sums.column("cell").to_numpy()] = sums.column("total").to_numpy()
-    return total.reshape(shape)
+    total = total.reshape(shape)
+    n = shape[-2]
+    total[..., :n] += np.triu(total[..., :n], 1).swapaxes(-1, -2)
+    return total
 
 
 def _together(pairs: np.ndarray, n: int) -> np.ndarray:
@@ -274,7 +285,7 @@ def _fit_patterns(patterns: DataFrame, model: LabelModel, n: int) -> tuple[np.nd
     def at(w: np.ndarray):
         def run(batches):
             total = np.zeros((n + 1, n + 3))
-            for batch in batches:
+            for batch in in_slices(batches, PATTERNS_AT_ONCE):
                 votes = _unpacked(batch.column(0).to_pylist(), n)
                 total += _slopes(votes, np.asarray(batch.column(1), dtype=np.float64), model.posterior(votes), w)
             yield _cells(total)
@@ -311,8 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not n_toxic or not n_clean:
         return Model()
     counts = sample.mapInArrow(_term_counts, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    chosen = _lexicon(counts, n_toxic, n_clean)
-    terms = [r["term"] for r in chosen]
+    terms = _lexicon(counts, n_toxic, n_clean)
     n = len(terms) + len(PATTERNS)
 
     @F.pandas_udf(BinaryType())
@@ -335,7 +345,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(text: Column, model: Model) -> Column:
     """The score of a text between 0 and 1; null counts as empty."""
-    terms, weights, base = list(model.terms), np.asarray(model.weights), float(model.base)
+    terms, weights, base = [list(own) for own in model.terms], np.asarray(model.weights), float(model.base)
 
     @F.pandas_udf(DoubleType())
     def scored(texts: pd.Series) -> pd.Series:

@@ -79,6 +79,16 @@ def test_capitals_are_looked_for_in_the_whole_text():
     assert not votes("1" * 2000 + "A" * 20) and not votes("a" + "A" * 3000) and not votes("1" * 30)
 
 
+def test_every_term_with_evidence_votes(spark):
+    words = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}" + "xyzvw"[k % 5] * 2 for k in range(650)]  # no form of one is in another
+    counts = spark.createDataFrame([(f"={w}", 20 + k // 10, 0) for k, w in enumerate(words)] + [("=rare", 3, 0), ("=even", 50, 900)], "term string, toxic long, clean long")
+    lexicon = toxicity._lexicon(counts, 1000, 9000)
+    assert sorted(str(t) for own in lexicon for t in (own if isinstance(own, list) else [own["term"]])) == sorted(f"={w}" for w in words)
+    assert len(lexicon) == toxicity.OWN_VOTERS + toxicity.SHARED_VOTERS
+    voters = toxicity.Voters(lexicon)
+    assert all(voters.votes(w)[: len(lexicon)].sum() == 1 for w in words) and not voters.votes("rare even").any()
+
+
 def test_without_labels(spark):
     docs = h.table(spark, corpus(20)[0])
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
