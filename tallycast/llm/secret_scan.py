@@ -30,9 +30,13 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _HINTS = ("passw", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile("AKIA[A-Z0-9]{16,}")
 _HEX = re.compile("(?<![0-9a-f])[0-9a-f]{24,}")
-_ANY_HEX = re.compile("(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]{16,}?)-----END \1-----")
+#: Runs from the length of the shortest base secret on: an assignment of 12 characters (token=abcdef).
+_ANY_HEX = re.compile("(?<![0-9A-Fa-f])[0-9A-Fa-f]{24,}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----((?:(?!-----).){16,}?)-----END \1-----", re.S)
+#: Line breaks and slashes as JSON and .env files escape them, and continued lines.
+_ESCAPED = re.compile(r"\\+[nrt]?")
+_DEK = re.compile(r"[A-Z0-9-]+,((?:[0-9A-Fa-f]{2})+)")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 #: Signature bytes by algorithm; 0 where they vary.
 _SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64, "RS256": 0, "RS384": 0, "RS512": 0, "PS256": 0, "PS384": 0, "PS512": 0}
@@ -40,6 +44,8 @@ _OPENSSH = b"openssh-key-v1\0"
 #: Tags of the basic encoding rules that key files use.
 _INTEGER, _OCTETS, _SEQUENCE = 0x02, 0x04, 0x30
 _DEEPEST = 16
+#: Encodings inside one another that are followed.
+_LAYERS = 4
 
 
 def decode_base64(run: str) -> bytes | None:
@@ -146,15 +152,27 @@ def is_signed_token(header: str, payload: str, signature: str) -> bool:
     return len(signed) == _SIGNATURE[alg] if _SIGNATURE[alg] else len(signed) >= 128
 
 
-def _holds_secret(data: bytes) -> bool:
-    """A decoded text that has an assignment, an access key, an armoured key or a key encoding of its own."""
+def _holds_secret(data: bytes, layers: int) -> bool:
+    """A decoded text that itself has a secret of any kind."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return False
     if not text.replace("\n", "").replace("\r", "").replace("\t", "").isprintable():
         return False
-    return bool(base_spans(text) or (_ARMOUR.search(text) if "-----BEGIN " in text else None))
+    return bool(spans(text, layers))
+
+
+def _is_armoured_key(label: str, inner: str) -> bool:
+    """What stands between the marks is a key, or encrypted as the label or the headers say."""
+    lines = _ESCAPED.sub("\n", inner).split("\n")
+    headers = {k.strip(): v.strip() for k, colon, v in (x.partition(":") for x in lines) if colon}
+    data = decode_base64("".join("".join(x for x in lines if ":" not in x).split()))
+    if not data:
+        return False
+    if dek := _DEK.fullmatch(headers.get("DEK-Info", "")):  # the vector is as long as a block of the cipher
+        return len(data) >= 32 and len(data) % (len(dek[1]) // 2) == 0
+    return is_key_encoding(data) or "ENCRYPTED" in label and _well_nested(data, 0, len(data))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -167,16 +185,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(*m.span(), "hex") for m in _HEX.finditer(text)]
 
 
-def spans(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of all secrets, in code points, by start and then by kind as listed."""
+def spans(text: str | None, layers: int = _LAYERS) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of all secrets, in code points, by start and then by kind as listed.
+
+    Encoded texts are searched in the same way, ``layers`` deep.
+    """
     if not text:
         return []
     found = base_spans(text)
     if "-----BEGIN " in text:
-        for m in _ARMOUR.finditer(text):
-            data = decode_base64("".join(m.group(2).split()))
-            if data is not None and (is_key_encoding(data) or "ENCRYPTED" in m.group(1) and _well_nested(data, 0, len(data))):
-                found.append((*m.span(), "private_key"))
+        found += [(*m.span(), "private_key") for m in _ARMOUR.finditer(text) if _is_armoured_key(*m.groups())]
     found += [(*m.span(), "signed_token") for m in _SIGNED.finditer(text) if is_signed_token(*m.groups())]
     armoured = [s for s in found if s[2] == "private_key"]
     for pattern, decode in ((_BASE64, decode_base64), (_ANY_HEX, lambda run: bytes.fromhex(run[: len(run) // 2 * 2]))):
@@ -188,7 +206,7 @@ def spans(text: str | None) -> list[tuple[int, int, str]]:
                 continue
             if is_key_encoding(data):
                 found.append((*m.span(), "private_key"))
-            elif _holds_secret(data):
+            elif layers and _holds_secret(data, layers - 1):
                 found.append((*m.span(), "encoded"))
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
