@@ -14,6 +14,7 @@ each tile returns no more links than it has nodes.
 from __future__ import annotations
 
 import hashlib
+import math
 import sys
 
 import numpy as np
@@ -29,8 +30,8 @@ from tallycast.session import cut_lineage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: A pair at 85 % misses all 32 bands of 6 with probability 3e-7; one at 20 % meets in one with 2e-3.
-BANDS, ROWS = 32, 6
+#: A pair at the threshold misses all bands with this probability at most. Rows of a band and coordinates at most.
+MISSED, ROWS, COORDINATES = 3e-7, 6, 2048
 #: Nodes and shingles of a tile.
 TILE_NODES, TILE_SHINGLES = 256, 500_000
 #: Distinct words whose hashes a task remembers.
@@ -107,6 +108,16 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for a threshold: 32 of 6 at 85 %, 50 of 6 at 80 %; fewer rows where that takes too many bands."""
+    for rows in range(ROWS, 0, -1):
+        agree = (percent / 100) ** rows
+        bands = 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
+        if bands * rows <= COORDINATES:
+            return bands, rows
+    raise ValueError(f"no bands find pairs at {percent} %")
+
+
 def _sketch(width: int, bands: int, rows: int):
     fields = ["row_id", "doc_id", "text_hash", "n_shingles", "set_key", "bands"]
 
@@ -191,14 +202,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are linked when 100 * intersection >= percent * union. ``component_id`` is the smallest id reachable; null ids count
     only where all are null. Documents without words are linked with nothing. Equal texts have equal sets and
     so one component; rows that repeat an id are each returned. An empty table gives no rows.
-    ``text_hash`` tells apart rows that share an id. Options: ``width``, ``percent``, ``bands``, ``rows``.
+    ``text_hash`` tells apart rows that share an id. Options: ``width``, ``percent``; ``bands`` and ``rows``, which follow
+    from ``percent`` unless both are given.
     """
     out = _groups(docs, id_col, text_col, **options).drop("component")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def _groups(docs: DataFrame, id_col: str, text_col: str, width: int = 5, percent: int = 80, bands: int | None = None, rows: int | None = None) -> DataFrame:
     """``near_groups`` with ``component``, a number for each component of several rows and null elsewhere."""
+    if bands is None or rows is None:
+        bands, rows = banding(percent)
     texts = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
         F.col(f"`{id_col}`").alias("doc_id"),

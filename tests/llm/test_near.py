@@ -46,6 +46,18 @@ def test_near_groups(spark):
     assert minhash.near_groups(docs.limit(0)).count() == 0 and minhash.drop_near_copies(docs.limit(0)).count() == 0
 
 
+def test_bands_follow_the_threshold(spark, monkeypatch):
+    seen = []
+    real = minhash._sketch
+    monkeypatch.setattr(minhash, "_sketch", lambda width, bands, rows: seen.append((bands, rows)) or real(width, bands, rows))
+    docs = h.table(spark, [(1, h.prose(1, 30), "s"), (2, h.prose(1, 30), "s")])
+    for percent in (85, 80, 50):
+        assert minhash.near_groups(docs, percent=percent).filter("kept").count() == 1
+        bands, rows = seen[-1]
+        assert (1 - (percent / 100) ** rows) ** bands <= 3e-7 and bands * rows <= minhash.COORDINATES
+    assert seen[:2] == [(32, 6), (50, 6)]
+
+
 def test_sketches_estimate_similarity():
     r = np.random.default_rng(1)
     for share in (0.5, 0.85):
