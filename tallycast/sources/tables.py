@@ -36,10 +36,6 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, [path], SITES)
 
 
-#: A submitted file may have so many columns at most.
-FILE_COLUMNS = 40
-
-
 def submission_lines(reader, paths) -> DataFrame:
     """The lines of submitted files, from a batch or a streaming reader, with where each came from."""
     meta = {"path": "file_path", "file": "file_name", "start": "file_block_start"}
@@ -49,14 +45,18 @@ def submission_lines(reader, paths) -> DataFrame:
 def rows_by_header(lines: DataFrame) -> DataFrame:
     """Lines of submitted files as text rows: each file by the names in its own first line.
 
-    Files may have their columns in any order, leave some out or have others besides. ``columns`` lists what the row's
-    file has; a column it lacks is NULL in all its rows. Values do not contain line breaks. Blank and NA are missing.
+    Files may have their columns in any order, leave some out or have others besides, however many. ``columns`` lists
+    what the row's file has; a column it lacks is NULL in all its rows. Values do not contain line breaks. Blank and NA
+    are missing.
     """
-    fields = ", ".join(f"c{k} string" for k in range(FILE_COLUMNS))
     numbered = lines.withColumn("_order", F.monotonically_increasing_id())
     first = F.min(F.struct("start", "_order", "value"))["value"].alias("_header")
     headers = numbered.groupBy("path").agg(first)
-    split = lambda c: F.array(*[F.from_csv(c, F.lit(fields))[f"c{k}"] for k in range(FILE_COLUMNS)])
+    # no file has more columns than its first line has commas, and one more
+    widest = headers.agg(F.max(F.size(F.split("_header", ",")))).first()[0] or 1
+    fields = ", ".join(f"c{k} string" for k in range(widest))
+    parsed = lambda c: F.array(F.from_csv(c, F.lit(fields), {"maxColumns": str(max(widest, 20480))}))
+    split = lambda c: F.transform(parsed(c), lambda s: F.array(*[s[f"c{k}"] for k in range(widest)]))[0]
     names = F.transform(split(F.regexp_replace("_header", "^\ufeff", "")), lambda n: F.trim(n))
     headers = headers.withColumn("columns", names)
     rows = lines.join(headers, "path").where((F.col("value") != F.col("_header")) & (F.trim("value") != ""))

@@ -137,6 +137,16 @@ def test_every_file_is_read_by_its_own_header(spark, allowed, tmp_path):
     assert valid == {"m1", "turned", "fewer"}
 
 
+def test_columns_of_a_wide_file(spark, tmp_path):
+    extra = [f"x{k}" for k in range(60)]
+    (tmp_path / "wide.csv").write_text(",".join([*extra, "prediction", "ensemble"]) + "\n" + ",".join([*"7" * 60, "2.5", "1"]) + "\n")
+    (tmp_path / "narrow.csv").write_text('prediction,variable\n1.5,"a, b"\n2.5,NA,9\n')
+    rows = read_submissions(spark, [str(tmp_path)]).orderBy("file", "prediction").collect()
+    assert [(r["file"], r["prediction"], r["variable"]) for r in rows] == [("narrow.csv", "1.5", "a, b"), ("narrow.csv", "2.5", None), ("wide.csv", "2.5", None)]
+    assert rows[2]["columns"] == [*extra, "prediction", "ensemble"] and rows[0]["columns"] == ["prediction", "variable"]
+    assert read_submissions(spark, [str(tmp_path / "wide.csv")]).where("false").count() == 0
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
