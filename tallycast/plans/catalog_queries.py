@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tallycast.operators import catalog as ops
 from tallycast.plans.registry import query
-from tallycast.plans.submission_queries import _PATH
+from tallycast.plans.submission_queries import listed_store
+from tallycast.schema import BUNDLE_PARTITIONS
+from tallycast.session import shared_folder
 
 _SITES = """SELECT DISTINCT s.model_id, s.variable, s.duration, s.site_id FROM scores s
  JOIN sites p ON p.field_site_id = s.site_id AND p.latitude < 55 WHERE s.model_id IS NOT NULL AND s.duration IN ('P1D', 'P1W')"""
@@ -96,8 +98,7 @@ def _(inp):
               strftime(reference_datetime, '%Y-%m-%d') AS date FROM forecasts""",
 )
 def _(inp):
-    path = _PATH.format(iso="date_format(reference_datetime, 'yyyy-MM-dd')").replace("reference_date=", "date=")
-    return ops.path_inventory(inp.forecasts.selectExpr(f"{path} AS path"))
+    return ops.path_inventory(listed_store(inp, "date", [*BUNDLE_PARTITIONS, "date"]))
 
 
 @query(
@@ -211,4 +212,6 @@ def _(inp):
        FROM registry GROUP BY 1""",
 )
 def _(inp):
-    return ops.model_type_counts(inp.registry)
+    folder = shared_folder(inp.spark, "registry")
+    inp.registry.write.json(folder)
+    return ops.model_type_counts(inp.spark.read.schema(inp.registry.schema).json(folder))

@@ -9,7 +9,7 @@ from tallycast.operators import scoring
 from tallycast.operators import submissions as ops
 from tallycast.plans.registry import query
 from tallycast.plans.sqltext import GROUP, STATS, sample_scores
-from tallycast.schema import BUNDLE_PARTITIONS, FORECASTS, STATS as STAT_COLUMNS
+from tallycast.schema import BUNDLE_PARTITIONS, FORECAST_PARTITIONS, FORECASTS, STATS as STAT_COLUMNS
 from tallycast.session import shared_folder
 from tallycast.sources import tables
 
@@ -168,15 +168,14 @@ def _(inp):
     "total",
 )
 def _(inp):
-    # written as partitions by date, the first half twice (a replay), then read back
+    # written in the published layout, the first half twice (a replay), then read back
     rows = inp.submissions.where(F.col("datetime").isNotNull())
     stored = ops.standardize_forecast(rows, "demo", _published()).withColumn(
-        "reference_date", F.date_trunc("week", "reference_datetime").cast("date")
+        "reference_date", F.col("reference_datetime").cast("date")
     )
     folder = shared_folder(inp.spark, "forecasts")
-    columns = ["project_id", "duration", "variable", "reference_date"]
-    tables.write_partitioned(stored, folder, columns)
-    tables.write_partitioned(stored.where(F.col("variable") <= "error"), folder, columns)
+    tables.write_forecasts(stored, folder)
+    tables.write_forecasts(stored.where(F.col("variable") <= "error"), folder)
     back = tables.read_dataset(inp.spark, folder, FORECASTS)
     return back.groupBy("duration", "variable", "family").agg(
         F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_known"), F.sum("prediction").alias("total")
@@ -234,8 +233,12 @@ def _(inp):
     )
 
 
-_PATH = """concat('store/project_id=', project_id, '/duration=', duration, '/variable=', variable, '/model_id=', model_id,
-                  '/reference_date=', {iso}, '/part-0.parquet')"""
+def listed_store(inp, date: str, columns: list[str]):
+    """Paths below ``store`` of the forecasts written by ``columns``, of which ``date`` is the day they were made."""
+    folder = shared_folder(inp.spark, "store")
+    tables.write_partitioned(inp.forecasts.withColumn(date, F.date_format("reference_datetime", "yyyy-MM-dd")), folder, columns)
+    below = F.regexp_replace("path", "^.*?/project_id=", "store/project_id=")
+    return tables.list_files(inp.spark, folder).select(below.alias("path"))
 
 
 @query(
@@ -245,8 +248,7 @@ _PATH = """concat('store/project_id=', project_id, '/duration=', duration, '/var
               model_id, '/') AS model_path FROM forecasts""",
 )
 def _(inp):
-    iso = "date_format(reference_datetime, 'yyyy-MM-dd')"
-    return ops.archive_inventory(inp.forecasts.selectExpr(f"{_PATH.format(iso=iso)} AS path"))
+    return ops.archive_inventory(listed_store(inp, "reference_date", FORECAST_PARTITIONS))
 
 
 @query(

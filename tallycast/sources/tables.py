@@ -134,6 +134,12 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """The files below a folder of a store, as ``path``; their content is not read. Partition values are unescaped."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return files.load(path).select(F.url_decode(F.regexp_replace("path", "[+]", "%2B")).alias("path"))
+
+
 def read_dataset(spark: SparkSession, path: str, schema) -> DataFrame:
     """A partitioned dataset with a declared schema: no file is opened to find out its columns."""
     return spark.read.schema(schema).parquet(path)

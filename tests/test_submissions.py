@@ -137,6 +137,23 @@ def test_every_file_is_read_by_its_own_header(spark, allowed, tmp_path):
     assert valid == {"m1", "turned", "fewer"}
 
 
+def test_forecasts_are_stored_as_published_and_listed(spark, tmp_path, monkeypatch):
+    from tallycast.plans import catalogue
+    from tallycast.schema import FORECAST_PARTITIONS
+    from tallycast.sources import tables
+
+    rows = spark.createDataFrame([("p", "P1D", "a:b+c", "m 1", "2024-01-01", 1.5), ("p", "P1D", "x", "m 2", "2024-01-02", 2.5)], [*FORECAST_PARTITIONS, "prediction"])
+    tables.write_forecasts(rows, str(tmp_path / "store"))
+    listed = sorted(r["path"].split("/store/")[1].rsplit("/", 1)[0] for r in tables.list_files(spark, str(tmp_path / "store")).collect())
+    assert listed == [f"project_id=p/duration=P1D/variable={v}/model_id={m}/reference_date={d}" for v, m, d in (("a:b+c", "m 1", "2024-01-01"), ("x", "m 2", "2024-01-02"))]
+    layouts = []
+    real = tables.write_partitioned
+    monkeypatch.setattr(tables, "write_partitioned", lambda df, path, columns: layouts.append(columns) or real(df, path, columns))
+    for name in ("write_forecasts", "archive_inventory"):
+        catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert layouts == [FORECAST_PARTITIONS] * 3
+
+
 def test_columns_of_a_wide_file(spark, tmp_path):
     extra = [f"x{k}" for k in range(60)]
     (tmp_path / "wide.csv").write_text(",".join([*extra, "prediction", "ensemble"]) + "\n" + ",".join([*"7" * 60, "2.5", "1"]) + "\n")
