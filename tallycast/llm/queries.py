@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import bpe, embeddings, exact, lines, minhash, mixing, secret_scan, sharding, tokencount, toxicity
+from tallycast.llm import bpe, embeddings, exact, lines, merkle, minhash, mixing, secret_scan, sharding, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,6 +139,51 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_table(docs, model)
 
 
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in the dataset's manifest, checked after one is added to ``n_chars`` of some."""
+    docs = documents(spark, sf_dir)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.LEAF_COLUMNS]
+    return merkle.audit(docs, tampered, changed)
+
+
+ORACLES["op11_merkle"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+d AS (SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, b: xor(crc >> 8, t[(xor(crc, b) & 255) + 1]))) AS crc FROM documents, crc_table),
+framed AS (SELECT *, CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS changed FROM d),
+l AS (SELECT doc_id, lang,
+  sha256(concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'), coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+  sha256(concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                coalesce(strlen(CAST(changed AS VARCHAR)) || ':' || changed, '-'), coalesce(strlen(text) || ':' || text, '-'))) AS other FROM framed),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM l),
+g AS (SELECT lang, 0 AS h, list(leaf ORDER BY rank) AS nodes FROM r GROUP BY lang
+      UNION ALL
+      SELECT lang, h + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(concat(nodes[2 * i + 1], coalesce(nodes[2 * i + 2], '')))) FROM g WHERE len(nodes) > 1),
+s AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS top FROM g WHERE len(nodes) = 1),
+u AS (SELECT 0 AS h, (SELECT list(subroot ORDER BY top) FROM s) AS nodes
+      UNION ALL
+      SELECT h + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(concat(nodes[2 * i + 1], coalesce(nodes[2 * i + 2], '')))) FROM u WHERE len(nodes) > 1),
+steps AS (
+  SELECT r.lang, r.rank, g.h, nodes[xor(r.rank >> g.h, 1) + 1] AS sibling, (r.rank >> g.h) % 2 = 1 AS lefts
+  FROM r JOIN g ON g.lang IS NOT DISTINCT FROM r.lang AND len(nodes) > 1
+  UNION ALL
+  SELECT r.lang, r.rank, 100 + u.h, nodes[xor(s.top >> u.h, 1) + 1], (s.top >> u.h) % 2 = 1
+  FROM r JOIN s ON s.lang IS NOT DISTINCT FROM r.lang JOIN u ON len(nodes) > 1),
+p AS (SELECT lang, rank, coalesce(string_agg(sibling, '' ORDER BY h), '') AS siblings,
+             list(CASE WHEN sibling IS NULL THEN '' WHEN lefts THEN 'L' || sibling ELSE 'R' || sibling END ORDER BY h) AS path FROM steps GROUP BY lang, rank)
+SELECT r.doc_id, r.leaf, s.subroot, whole.nodes[1] AS root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+       list_reduce(list_concat([r.other], coalesce(p.path, [])), lambda acc, x: sha256(CASE WHEN x = '' THEN acc WHEN x[1] = 'L' THEN x[2:] || acc ELSE acc || x[2:] END)) AS folded_root,
+       folded_root = whole.nodes[1] AS verified
+FROM r JOIN s ON s.lang IS NOT DISTINCT FROM r.lang JOIN (SELECT nodes FROM u WHERE len(nodes) = 1) whole ON true
+LEFT JOIN p ON p.lang IS NOT DISTINCT FROM r.lang AND p.rank = r.rank
+"""
+
+
 ORACLES["op2_minhash_dedup"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
