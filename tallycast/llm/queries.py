@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm import bpe, embeddings, exact, lines, merkle, minhash, mixing, secret_scan, sharding, tokencount, toxicity
+from tallycast.llm import bpe, decontaminate, embeddings, exact, lines, merkle, minhash, mixing, search, secret_scan, sharding, tokencount, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -184,6 +184,65 @@ LEFT JOIN p ON p.lang IS NOT DISTINCT FROM r.lang AND p.rank = r.rank
 """
 
 
+@query
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents that lie in a ten-word passage of a benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found, lists = decontaminate.contamination(documents(spark, sf_dir), benchmark)
+    about = [F.size("items").cast("long").alias("listed"), F.sha2(F.array_join("items", ","), 256).alias("digest")]
+    told = decontaminate.with_items(found, lists, *about)
+    n_hit = decontaminate.words_hit(F.col("spans"))
+    return told.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.coalesce("listed", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op12_decontaminate"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+s AS (SELECT item_id, w, CASE WHEN len(w) < 10 THEN len(w) ELSE 10 END AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) AS x FROM s),
+dw AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i : i + n - 1], ' '))) AS x
+       FROM d JOIN (SELECT DISTINCT n FROM s) k ON len(w) >= n),
+h AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, x)),
+c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM h) q GROUP BY r),
+t AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM h GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)
+"""
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents with the highest scores for each benchmark item."""
+    index = search.build_index(documents(spark, sf_dir))
+    return search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLES["op13_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+q AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+s AS (SELECT count(*) AS N, CAST(sum(len(t)) AS BIGINT) AS L FROM d WHERE len(t) > 0),
+f AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(t) AS x FROM d) u GROUP BY r, x),
+w AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY x, N),
+m AS (SELECT r, doc_id, 50 + (50 * len(t) * N) // L AS m FROM d, s WHERE len(t) > 0),
+c AS (SELECT q, item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM (SELECT DISTINCT q, item_id, unnest(t) AS x FROM q) a JOIN w USING (x) JOIN f USING (x) JOIN m USING (r) GROUP BY q, item_id, r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM c JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 ORACLES["op2_minhash_dedup"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
