@@ -313,15 +313,15 @@ def beta_logs(shape1: Column, shape2: Column, y: Column) -> Column:
     return score(shape1, shape2, y)
 
 
-def beta_quantile(shape1: Column, shape2: Column, q: float) -> Column:
+def beta_quantile(shape1: Column, shape2: Column, q: float | Column) -> Column:
     @F.pandas_udf("double")
-    def value(shape1: pd.Series, shape2: pd.Series) -> pd.Series:
-        a, b = _arrays(shape1, shape2)
-        ok = (a > 0) & (b > 0)
-        a, b = np.where(ok, a, 1.0), np.where(ok, b, 1.0)
-        return _guarded(_bisect(lambda x: beta_cdf(a, b, x), np.zeros_like(a), np.ones_like(a), q), ok)
+    def value(shape1: pd.Series, shape2: pd.Series, q: pd.Series) -> pd.Series:
+        a, b, at = _arrays(shape1, shape2, q)
+        ok = (a > 0) & (b > 0) & (at >= 0) & (at <= 1)
+        a, b, at = np.where(ok, a, 1.0), np.where(ok, b, 1.0), np.where(ok, at, 0.5)
+        return _guarded(_bisect(lambda x: beta_cdf(a, b, x), np.zeros_like(a), np.ones_like(a), at), ok)
 
-    return value(shape1, shape2)
+    return value(shape1, shape2, q if isinstance(q, Column) else F.lit(float(q)))
 
 
 # --- Poisson ------------------------------------------------------------------------------------------------

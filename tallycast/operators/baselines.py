@@ -297,8 +297,8 @@ def diurnal_resample(
     plan = diurnal_windows(targets, enough).withColumn("_day", F.explode(F.sequence(F.lit(0), F.lit(days))))
     plan = plan.where((F.col("_day") < days) | (F.col("slot") == 0))
     plan = plan.withColumn("parameter", F.explode(F.sequence(F.lit(1), F.lit(n_members))))
-    pick = draws.index(seed, F.col("_size"), *SERIES_KEY, "_day", "slot", "parameter")
     minutes = (F.col("slot") * 60).cast("int")
+    pick = draws.index(seed, F.col("_size"), *SERIES_KEY, "_day", minutes, "parameter")
     at = start + F.make_dt_interval(F.col("_day"), F.lit(0), minutes)
     drawn = plan.withColumns({"_pos": F.col("_first") + pick - 1, "datetime": at.cast("timestamp_ntz")})
     return drawn.join(history, [*SERIES_KEY, "_pos"]).select(

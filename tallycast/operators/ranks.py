@@ -1,4 +1,4 @@
-"""Order statistics and group splitting that stay spread out when one group holds most of the rows."""
+"""Order statistics that stay spread out when one group holds most of the rows."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallycast.session import cut_lineage
 
-#: A group of more rows than this is ranked in value ranges and never gathered into one array.
-GROUP_ROWS = 100_000
+#: Bits of a member's number within its sorted run, and values of a run that are looked at to cut groups into ranges.
+RUN_BITS, RUN_SAMPLES = 16, 256
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -22,27 +22,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def split_by_size(
-    df: DataFrame, keys: list[str], limit: int = GROUP_ROWS, among: Column | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of groups too large to gather (None if there are none).
-
-    Groups that do not meet ``among`` (a condition on the keys) are never too large.
-
-    The bound is the same whatever the input. Groups are counted per key hash, reduced before the shuffle; a collision
-    can only call a group larger than it is. The large ones are stored as a table of their own and found by a join,
-    so their number is not limited either. Their rows are stored too, because ranking reads them several times.
-    """
-    counted = df if among is None else df.where(among)
-    sizes = counted.groupBy(F.xxhash64(*keys).alias("_g")).agg(F.count(F.lit(1)).alias("_size"))
-    large = cut_lineage(sizes.where(F.col("_size") > limit).select("_g"), "large-groups")
-    if large.isEmpty():
-        return df, None
-    tagged = df.withColumn("_g", F.xxhash64(*keys))
-    rows = tagged.join(large, "_g", "left_semi").drop("_g")
-    return tagged.join(large, "_g", "left_anti").drop("_g"), cut_lineage(rows, "large-group-rows")
-
-
 def _value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     known = df.where(F.col(value).isNotNull())
     return known.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
@@ -85,8 +64,51 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[s
     )
 
 
-def quantile_from_ranks(ranks: DataFrame, keys: list[str], quantiles: Mapping[str, float]) -> DataFrame:
-    """Interpolated quantiles from (partial) ranks that contain the needed positions."""
+def member_run(number: Column, bits: int = RUN_BITS) -> Column:
+    """The run of a group's member: ``2 ** bits`` consecutive numbers. A name that is no number has a run of its own;
+    members without a name are in the first."""
+    return F.shiftright(F.coalesce(number.try_cast("bigint"), F.xxhash64(number)), bits)
+
+
+def run_ranks(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact ranks as in :func:`value_ranks`, from sorted runs (``keys``, ``_run``, ``_x``).
+
+    Evenly spaced values of all runs of a group are sorted, and every ``RUN_SAMPLES``-th of them ends a range of the
+    group. By their order such ranges hold about as many members as a run, in whatever way values are spread over the
+    runs. Runs are cut at these values, and each range ranks what all runs have in it; a group's ranges are summed up
+    from one row each. Nothing is sampled by chance, so a task that runs again cuts the same.
+    """
+    size = F.size("_x")
+    every = F.greatest(F.floor(size / RUN_SAMPLES), F.lit(1)).cast("int")
+    spaced = F.transform(F.sequence(every - 1, size - 1, every), lambda i: F.get("_x", i))
+    cuts = runs.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list(spaced))).alias("_s"))
+    ends = F.array_distinct(F.filter("_s", lambda v, i: i % RUN_SAMPLES == RUN_SAMPLES - 1))
+    cut = null_safe_join(runs.select(*keys, "_run", "_x"), cuts.select(*keys, ends.alias("_ends")), keys)
+    # within a run: its members and the ends of the ranges, a member before an end it equals
+    members = cut.select(*keys, "_run", F.explode("_x").alias("_v"), F.lit(0).alias("_end"))
+    marks = cut.select(*keys, "_run", F.explode("_ends").alias("_v"), F.lit(1).alias("_end"))
+    running = Window.unboundedPreceding, Window.currentRow
+    along = Window.partitionBy(*keys, "_run").orderBy("_v", "_end").rowsBetween(*running)
+    placed = members.unionByName(marks).withColumn("_range", F.sum("_end").over(along)).where(F.col("_end") == 0)
+    counts = placed.groupBy(*keys, "_range", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*keys)
+    totals = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rn"))
+    totals = totals.withColumns(
+        {
+            "_m": F.sum("_rn").over(group),
+            "_skip": F.sum("_rn").over(group.orderBy("_range").rowsBetween(*running)) - F.col("_rn"),
+        }
+    )
+    inside = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(*running)
+    return (
+        null_safe_join(counts, totals, [*keys, "_range"])
+        .withColumn("_before", F.col("_skip") + F.sum("_n").over(inside) - F.col("_n"))
+        .select(*keys, "_v", "_n", "_before", "_m")
+    )
+
+
+def quantile_parts(quantiles: Mapping[str, float]) -> dict[str, Column]:
+    """Aggregates over ranked rows of a group: its size and the two values around each quantile's position."""
     size = F.col("_m") - 1
 
     def at(position: Column) -> Column:
@@ -97,13 +119,23 @@ def quantile_from_ranks(ranks: DataFrame, keys: list[str], quantiles: Mapping[st
     for name, q in quantiles.items():
         parts[f"_lo_{name}"] = at(F.floor(size * F.lit(q)))
         parts[f"_hi_{name}"] = at(F.ceil(size * F.lit(q)))
-    rows = ranks.groupBy(*keys).agg(*[c.alias(n) for n, c in parts.items()])
-    result = []
+    return parts
+
+
+def quantile_values(quantiles: Mapping[str, float]) -> dict[str, Column]:
+    """Interpolated quantiles from the result of :func:`quantile_parts`."""
+    out = {}
     for name, q in quantiles.items():
         position = (F.col("_size") - 1) * F.lit(q)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        result.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return rows.select(*keys, *result)
+        out[name] = low + (high - low) * (position - F.floor(position))
+    return out
+
+
+def quantile_from_ranks(ranks: DataFrame, keys: list[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """Interpolated quantiles from (partial) ranks that contain the needed positions."""
+    rows = ranks.groupBy(*keys).agg(*[c.alias(n) for n, c in quantile_parts(quantiles).items()])
+    return rows.select(*keys, *[c.alias(n) for n, c in quantile_values(quantiles).items()])
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:

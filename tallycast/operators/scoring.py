@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallycast.functions import scoring as rules
 from tallycast.functions.timing import horizon_days_calendar
-from tallycast.operators.ranks import GROUP_ROWS, null_safe_join, quantile_from_ranks, split_by_size, value_ranks
+from tallycast.operators.ranks import RUN_BITS, member_run, null_safe_join, quantile_parts, quantile_values, run_ranks
 from tallycast.session import cut_lineage
 from tallycast.schema import (
     FAMILY_PARAMETERS,
@@ -103,49 +103,54 @@ def _gathered_stats(summaries: bool, scored: bool) -> dict[str, Column]:
     return out
 
 
-def _score_ranked(members: DataFrame, keys: list[str], summaries: bool, scored: bool) -> DataFrame:
-    """The same from distributed ranks, for forecasts with more members than one task should hold."""
-    ranks = cut_lineage(value_ranks(members, keys, "prediction"), "member-ranks")
+def _merged_moments(runs: Column) -> Column:
+    """Mean and standard deviation of a group from those of its runs (``n``, ``mean``, ``sd``)."""
+    start = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mean", "m2")])
+
+    def step(a: Column, r: Column) -> Column:
+        n, gap = a["n"] + r["n"], r["mean"] - a["mean"]
+        own = F.coalesce(r["sd"] * r["sd"], F.lit(0.0)) * (r["n"] - 1)
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + gap * r["n"] / n).alias("mean"),
+            (a["m2"] + own + gap * gap * a["n"] * r["n"] / n).alias("m2"),
+        )
+
+    def finish(a: Column) -> Column:
+        return F.struct(a["mean"].alias("mean"), F.when(a["n"] > 1, F.sqrt(a["m2"] / (a["n"] - 1))).alias("sd"))
+
+    return F.aggregate(F.array_sort(runs), start, step, finish)
+
+
+def _run_stats(runs: DataFrame, keys: list[str], summaries: bool, scored: bool) -> DataFrame:
+    """The same for forecasts of several runs, from the ranks of members across their runs."""
+    ranks = run_ranks(runs, keys)
     v, n = F.col("_v"), F.col("_n")
     quantiles = {"median": 0.5, **rules.LIMITS, "_q25": 0.25, "_q75": 0.75}
-    base = members.groupBy(*keys).agg(F.avg("prediction").alias("mean"), F.stddev_samp("prediction").alias("sd"))
-    base = cut_lineage(null_safe_join(base, quantile_from_ranks(ranks, keys, quantiles), keys), "member-stats")
-    out = [*keys]
+    parts = quantile_parts(quantiles)
+    values = quantile_values(quantiles)
     if scored:
         y = F.col("observation")
-        m = F.max("_m")
-        crps = (
-            ranks.groupBy(*keys)
-            .agg(
-                (F.sum(n * F.abs(v - y)) / m).alias("_miss"),
-                F.sum(v * n * (2 * F.col("_before") + n - F.col("_m"))).alias("_spread"),
-                m.alias("_size"),
-            )
-            .withColumn("crps", F.col("_miss") - F.col("_spread") / (F.col("_size").cast("double") * F.col("_size")))
-            .select(*keys, "crps", "_size")
-        )
-        base = null_safe_join(base, crps, keys).withColumn(
-            "_h", rules.kernel_bandwidth(F.col("_size"), F.col("sd"), F.col("_q75") - F.col("_q25"))
-        )
-        z = null_safe_join(ranks, base.select(*keys, "_h"), keys).withColumn(
-            "_z", F.abs(F.try_divide(v - y, F.col("_h")))
-        )
-        near = z.groupBy(*keys).agg(F.min("_z").alias("_near"))
-        kernel = (
-            null_safe_join(z, near, keys)
-            .groupBy(*keys)
-            .agg(
-                F.sum(n * F.exp((F.col("_near") * F.col("_near") - F.col("_z") * F.col("_z")) / 2)).alias("_sum"),
-                F.max("_near").alias("_near"),
-            )
-        )
-        base = null_safe_join(base, kernel, keys).withColumn(
-            "logs",
-            F.col("_near") * F.col("_near") / 2
-            - F.ln(F.col("_sum") / F.col("_size"))
-            + F.ln("_h")
-            + F.lit(0.5 * math.log(2 * math.pi)),
-        )
+        parts["_miss"] = F.sum(n * F.abs(v - y))
+        parts["_spread"] = F.sum(v * n * (2 * F.col("_before") + n - F.col("_m")))
+        parts["_near"] = F.min(F.abs(v - y))
+        size = F.col("_size").cast("double")
+        values["crps"] = F.col("_miss") / size - F.col("_spread") / (size * size)
+    ranked = ranks.groupBy(*keys).agg(*[c.alias(c_name) for c_name, c in parts.items()])
+    ranked = ranked.select(*keys, "_size", *(["_near"] if scored else []), *[c.alias(c_name) for c_name, c in values.items()])
+    moments = F.collect_list(F.struct(F.size("_x").cast("double").alias("n"), F.col("_mean").alias("mean"), F.col("_sd").alias("sd")))
+    merged = runs.groupBy(*keys).agg(_merged_moments(moments).alias("_moments"))
+    base = null_safe_join(ranked, merged.select(*keys, "_moments.mean", "_moments.sd"), keys)
+    out = [*keys]
+    if scored:
+        base = base.withColumn("_h", rules.kernel_bandwidth(F.col("_size"), F.col("sd"), F.col("_q75") - F.col("_q25")))
+        kernel = null_safe_join(ranks, base.select(*keys, "_h", "_near"), keys)
+        # relative to the nearest member, so that a far observation does not underflow
+        z, near = (v - y) / F.col("_h"), F.col("_near") / F.col("_h")
+        kernel = kernel.groupBy(*keys).agg(F.sum(n * F.exp((near * near - z * z) / 2)).alias("_sum"))
+        near = F.col("_near") / F.col("_h")
+        density = F.ln(F.col("_sum") / F.col("_size")) - F.ln("_h") - F.lit(0.5 * math.log(2 * math.pi))
+        base = null_safe_join(base, kernel, keys).withColumn("logs", near * near / 2 - density)
         out += ["crps", "logs"]
     if summaries:
         out += STATS
@@ -176,58 +181,66 @@ def _parametric_stats(families: list[str], summaries: bool, scored: bool) -> dic
     return out
 
 
-def _by_family(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, limit: int, families: list[str]) -> DataFrame:
+def _by_family(rows: DataFrame, keys: list[str], summaries: bool, scored: bool, run_bits: int, families: list[str]) -> DataFrame:
     """One row per forecast with its scores and statistics.
 
-    One aggregate turns members into sorted arrays and parameters into columns, for all families at once. It is stored,
-    and each kind of family then reads its own forecasts from that small table, so a function in Python sees no others.
+    One aggregate turns members into sorted runs and parameters into columns, for all families at once. A run has the
+    members of ``2 ** run_bits`` consecutive numbers, so it is bounded whatever a forecast's size, and reduced where the
+    rows are read. Runs are stored: the input is read once, and each kind of family then reads its own forecasts from
+    that small table, so a function in Python sees no others. The run of most forecasts is their only one.
     """
     named = rows.withColumn("family", sample_family()).where(F.col("family").isin(families))
     known = named.where((F.col("family") != "sample") | F.col("prediction").isNotNull())
-    ordinary, large = known.select(*keys, "parameter", "prediction"), None
-    if "sample" in families:
-        ordinary, large = split_by_size(ordinary, keys, limit, F.col("family") == "sample")
     parametric = [f for f in families if f != "sample"]
     names = sorted({name for family in parametric for name in FAMILY_PARAMETERS[family]})
-    member = F.when(F.col("family") == "sample", F.col("prediction"))
-    wide = ordinary.groupBy(*keys).agg(
+    is_member = F.col("family") == "sample"
+    run = F.when(is_member, member_run(F.col("parameter"), run_bits)).otherwise(F.lit(0).cast("long"))
+    member = F.when(is_member, F.col("prediction"))
+    wide = known.groupBy(*keys, run.alias("_run")).agg(
         F.array_sort(F.collect_list(member)).alias("_x"),
         F.avg(member).alias("_mean"),
         F.stddev_samp(member).alias("_sd"),
         *[F.max(F.when(F.col("parameter") == n, F.col("prediction"))).alias(f"_p_{n}") for n in names],
     )
-    kinds = [["sample"]] * ("sample" in families) + [[f for f in parametric if f in ARITHMETIC]]
-    kinds = [k for k in kinds if k] + [[f] for f in parametric if f not in ARITHMETIC]
-    if len(kinds) > 1:
-        wide = cut_lineage(wide, "forecasts-wide")
+    kinds = [k for k in [[f for f in parametric if f in ARITHMETIC]] if k] + [[f] for f in parametric if f not in ARITHMETIC]
+    if "sample" in families or len(kinds) > 1:
+        wide = cut_lineage(wide, "forecast-runs")
     parts = []
+    if "sample" in families:
+        runs = wide.where(is_member).select(*keys, "_run", "_x", "_mean", "_sd", F.xxhash64(*keys).alias("_g"))
+        further = runs.where(F.col("_run") != 0)
+        stats = _gathered_stats(summaries, scored)
+        # the stored files' own statistics tell where there are none, and nothing is joined then
+        if not further.isEmpty():
+            # a hash in common can only call one run several
+            several = further.select("_g").distinct()
+            parts.append(_run_stats(runs.join(several, "_g", "left_semi"), keys, summaries, scored))
+            runs = runs.join(several, "_g", "left_anti")
+        parts.append(runs.select(*keys, *[c.alias(n) for n, c in stats.items()]))
     for kind in kinds:
-        stats = _gathered_stats(summaries, scored) if kind == ["sample"] else _parametric_stats(kind, summaries, scored)
-        chosen = wide.where(F.col("family").isin(kind))
-        parts.append(chosen.select(*keys, *[c.alias(n) for n, c in stats.items()]))
-    if large is not None:
-        parts.append(_score_ranked(large, keys, summaries, scored))
+        stats = _parametric_stats(kind, summaries, scored)
+        parts.append(wide.where(F.col("family").isin(kind)).select(*keys, *[c.alias(n) for n, c in stats.items()]))
     return reduce(DataFrame.unionByName, parts)
 
 
-def score_joined(joined: DataFrame, include_summaries: bool = True, limit: int = GROUP_ROWS) -> DataFrame:
+def score_joined(joined: DataFrame, include_summaries: bool = True, run_bits: int = RUN_BITS) -> DataFrame:
     """Score every forecast that is joined to its observation: CRPS, log score and summary statistics.
 
     Rows are split by kind of family before anything else, so ``parameter`` is only ever read as what it is.
     """
     keys = [*present(SCORE_GROUP, joined), "observation"]
-    return _by_family(joined, keys, include_summaries, True, limit, ["sample", *FAMILY_PARAMETERS])
+    return _by_family(joined, keys, include_summaries, True, run_bits, ["sample", *FAMILY_PARAMETERS])
 
 
-def summarize_forecast(forecasts: DataFrame, limit: int = GROUP_ROWS) -> DataFrame:
+def summarize_forecast(forecasts: DataFrame, run_bits: int = RUN_BITS) -> DataFrame:
     """Mean, median, spread and limits of every forecast; no observation needed."""
-    return _by_family(forecasts, present(SCORE_GROUP, forecasts), True, False, limit, ["sample", *FAMILY_PARAMETERS])
+    return _by_family(forecasts, present(SCORE_GROUP, forecasts), True, False, run_bits, ["sample", *FAMILY_PARAMETERS])
 
 
 def score_family(joined: DataFrame, family: str, rule: str) -> DataFrame:
     """A single rule (``crps`` or ``logs``) for a single family."""
     keys = [*present(SCORE_GROUP, joined), "observation"]
-    return _by_family(joined, keys, False, True, GROUP_ROWS, [family]).select(*keys, rule)
+    return _by_family(joined, keys, False, True, RUN_BITS, [family]).select(*keys, rule)
 
 
 # --- keeping the score table --------------------------------------------------------------------------------

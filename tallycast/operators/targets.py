@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycast.functions import draws
+from tallycast.functions import draws, special
 from tallycast.functions.timing import floor_to, midnight, ntz
-from tallycast.operators.ranks import exact_quantiles, keep_extreme
-from tallycast.operators.series import month_block, with_position, with_previous
+from tallycast.operators.ranks import exact_quantiles, keep_extreme, null_safe_join, value_ranks
+from tallycast.operators.series import month_block, with_previous
 from tallycast.schema import OBS_KEY
 
 # Names of pollutants and sample lengths in raw air data, and the pollutants measured at two lengths.
@@ -351,22 +351,38 @@ def fill_gaps(targets: DataFrame, keys: list[str], end: Column | None = None, st
 
 
 def bootstrap_quantile_sd(
-    images: DataFrame, keys: list[str], order: str, value: str, n_boot: int = 50, q: float = 0.9, seed: int = 1
+    images: DataFrame, keys: list[str], value: str, n_boot: int = 50, q: float = 0.9, seed: int = 1
 ) -> DataFrame:
-    """Spread of a bootstrapped quantile per group; ``order`` identifies an image within its group.
+    """Spread of a bootstrapped quantile per group.
 
-    Every resample draws as many values as the group has. Draws are (group, resample, slot) -> position and meet the
-    values through an equi-join on the position, so a large group is spread over its positions.
+    No resample is made. Of as many draws as a group of n has values, the k-th lies at the k-th of n uniform numbers,
+    which has a beta distribution, and the next one at the least of the n - k that remain above it. Both are drawn
+    directly, and the values at these two places of the sorted group are the ones the quantile lies between.
     """
-    known = images.where(F.col(value).isNotNull()).select(*keys, order, value)
-    numbered = with_position(known, keys, order, F.pmod(F.xxhash64(order), F.lit(64))).select(*keys, "_pos", value)
-    sizes = numbered.groupBy(*keys).agg(F.max("_pos").alias("_size"))
-    slots = numbered.select(*keys, F.col("_pos").alias("_slot")).join(sizes, keys)
-    resampled = slots.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(n_boot)))).withColumn(
-        "_pos", draws.index(seed, F.col("_size"), *keys, "_b", "_slot")
+    known = images.where(F.col(value).isNotNull())
+    ranks = value_ranks(known, keys, value)
+    sorted_values = ranks.select(*keys, "_v", F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))).alias("_pos"))
+    plan = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    plan = plan.withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(n_boot))))
+    n = F.col("_size")
+    at = (n - 1) * F.lit(q)
+    k = F.floor(at) + 1
+    low = special.beta_quantile(k.cast("double"), (n - k + 1).cast("double"), draws.uniform(seed, *keys, "_b", F.lit("low")))
+    plan = plan.select(*keys, "_b", n.alias("_size"), k.alias("_k"), (at - F.floor(at)).alias("_part"), low.alias("_low"))
+    left = F.col("_size") - F.col("_k")
+    gap = F.pow(draws.uniform(seed, *keys, "_b", F.lit("high")), F.try_divide(F.lit(1.0), left.cast("double")))
+    high = F.when(left > 0, 1 - (1 - F.col("_low")) * gap).otherwise(F.col("_low"))
+
+    def place(u: Column) -> Column:
+        return F.greatest(F.least(F.ceil(u * F.col("_size")), F.col("_size")), F.lit(1)).cast("long")
+
+    ends = F.array(
+        F.struct(place(F.col("_low")).alias("_pos"), (1 - F.col("_part")).alias("_weight")),
+        F.struct(place(high).alias("_pos"), F.col("_part").alias("_weight")),
     )
-    drawn = resampled.select(*keys, "_b", "_pos").join(numbered, [*keys, "_pos"])
-    quantiles = exact_quantiles(drawn, [*keys, "_b"], value, {"q": q})
+    wanted = plan.select(*keys, "_b", F.explode(ends).alias("_end")).select(*keys, "_b", "_end._pos", "_end._weight")
+    drawn = null_safe_join(wanted, sorted_values, [*keys, "_pos"])
+    quantiles = drawn.groupBy(*keys, "_b").agg(F.sum(F.col("_v") * F.col("_weight")).alias("q"))
     return quantiles.groupBy(*keys).agg(F.stddev_samp("q").alias("sd"))
 
 

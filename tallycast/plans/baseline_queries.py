@@ -9,6 +9,7 @@ from tallycast.operators import baselines as ops
 from tallycast.operators import targets as target_ops
 from tallycast.plans.driver_queries import interpolated
 from tallycast.plans.registry import query
+from tallycast.plans.sqltext import drawn_index, inverse_normal, uniform
 from tallycast.plans.target_queries import AIR
 
 TODAY = "2001-07-10"
@@ -155,12 +156,28 @@ def _(inp):
     return ops.week_climatology(inp.history)
 
 
+#: Takes binary fractions off the ties of decimal rounding.
+_OFF = 1e-9
+
+
 def _summary(df, by):
     p = F.col("prediction")
-    return df.groupBy(*by).agg(F.count(p).alias("n"), F.avg(p).alias("mean"), F.min(p).alias("low"), F.max(p).alias("high"))
+    return df.groupBy(*by).agg(F.count(p).alias("n"), F.sum(p).alias("total"), (F.min(p) + _OFF).alias("low"), (F.max(p) + _OFF).alias("high"))
+
+
+_SUMMARY = "count(prediction) AS n, sum(prediction) AS total, min(prediction) + 1e-9 AS low, max(prediction) + 1e-9 AS high"
 
 
-@query("lognormal_ensemble", "history")
+@query(
+    "lognormal_ensemble",
+    "history",
+    f"""SELECT site_id, iso_week, {_SUMMARY} FROM (
+          SELECT site_id, iso_week, exp(ln(mean + 1) - s2 / 2 + sqrt(s2) * {inverse_normal('u')}) AS prediction FROM (
+            SELECT *, ln(1 + sd * sd / ((mean + 1) * (mean + 1))) AS s2, {uniform('site_id', 'iso_week', 'parameter')} AS u FROM (
+              SELECT *, unnest(range(1, 501)) AS parameter FROM ({_WEEKLY}) w WHERE iso_week BETWEEN 20 AND 29) p) d) e
+        GROUP BY site_id, iso_week""",
+    "total low high",
+)
 def _(inp):
     weekly = ops.week_climatology(inp.history, weeks=list(range(20, 30)))
     return _summary(ops.lognormal_ensemble(weekly, 500), ["site_id", "iso_week"])
@@ -182,18 +199,66 @@ def _(inp):
     return ops.persistence_path(inp.targets, _FORECAST_DAY)
 
 
-@query("persistence_rw", "targets")
+def _walks_sql(value: str, back: str) -> str:
+    """Random walks with drawn steps: changes between successive days, numbered in their series and fetched by number."""
+    pick = drawn_index("size", "p.site_id", "p.variable", "parameter", "step")
+    return f"""
+WITH k AS (SELECT site_id, variable, CAST(datetime AS DATE) AS d, {value} AS y FROM targets WHERE observation IS NOT NULL),
+s AS (SELECT *, lag(d) OVER o AS d0, lag(y) OVER o AS y0 FROM k WINDOW o AS (PARTITION BY site_id, variable ORDER BY d)),
+c AS (SELECT site_id, variable, y - y0 AS change, row_number() OVER (PARTITION BY site_id, variable ORDER BY d) AS pos FROM s WHERE d - d0 = 1),
+z AS (SELECT site_id, variable, max(pos) AS size, avg(change) AS centre FROM c GROUP BY site_id, variable),
+l AS (SELECT site_id, variable, max(d) + 1 AS start, arg_max(y, d) AS last FROM k GROUP BY site_id, variable),
+p AS (SELECT *, unnest(range(1, h + 1)) AS step FROM (
+        SELECT l.*, z.size, z.centre, date_diff('day', start, DATE '{_FORECAST_DAY}') + 35 AS h, unnest(range(1, 201)) AS parameter
+        FROM l JOIN z ON l.site_id = z.site_id AND l.variable = z.variable) q WHERE h > 0),
+w AS (SELECT p.*, c.change FROM p JOIN c ON c.site_id = p.site_id AND c.variable = p.variable AND c.pos = {pick}),
+v AS (SELECT *, last + sum(change - centre) OVER (PARTITION BY site_id, variable, parameter ORDER BY step) AS level FROM w)
+SELECT site_id, variable, CAST(start + CAST(step - 1 AS INTEGER) AS TIMESTAMP) AS datetime, {back} AS prediction FROM v
+WHERE start + CAST(step - 1 AS INTEGER) > DATE '{_FORECAST_DAY}'"""
+
+
+@query(
+    "persistence_rw",
+    "targets",
+    f"SELECT site_id, variable, datetime, {_SUMMARY} FROM ({_walks_sql('observation', 'level')}) r GROUP BY site_id, variable, datetime",
+    "total low high",
+)
 def _(inp):
     return _summary(ops.persistence_rw(inp.targets, _FORECAST_DAY), ["site_id", "variable", "datetime"])
 
 
-@query("persistence_rw_log1p", "targets")
+_CLICKS = "ln(1 + CASE WHEN variable = 'click' AND observation = 0 THEN 1e-5 ELSE observation END)"
+
+
+@query(
+    "persistence_rw_log1p",
+    "targets",
+    f"""SELECT site_id, variable, datetime, n, ln(total + n) AS total, low, ln(1 + high) AS high FROM (
+          SELECT site_id, variable, datetime, {_SUMMARY} FROM ({_walks_sql(_CLICKS, 'exp(level) - 1')}) r
+          GROUP BY site_id, variable, datetime) s""",
+    "total low high",
+)
 def _(inp):
+    # walks on this scale reach far up, so that end is compared on it
     walks = ops.persistence_rw(inp.targets, _FORECAST_DAY, transform="log1p", floor_zeros={"click": 1e-5})
-    return _summary(walks, ["site_id", "variable", "datetime"])
+    told = _summary(walks, ["site_id", "variable", "datetime"])
+    return told.withColumns({"total": F.ln(F.col("total") + F.col("n")), "high": F.log1p("high")})
 
 
-@query("mean_forecast", "history")
+@query(
+    "mean_forecast",
+    "history",
+    f"""WITH y AS (SELECT site_id, variable, ln(1 + observation) AS y,
+             row_number() OVER (PARTITION BY site_id, variable ORDER BY datetime) AS pos FROM history WHERE observation > -1),
+        z AS (SELECT site_id, variable, max(pos) AS size, avg(y) AS m FROM y GROUP BY site_id, variable),
+        p AS (SELECT *, unnest(range(1, 53)) AS week FROM (SELECT *, unnest(range(1, 501)) AS parameter FROM z) q),
+        d AS (SELECT p.site_id, p.variable, CAST(date_trunc('week', DATE '2001-11-10') + INTERVAL 7 DAY * week AS TIMESTAMP) AS datetime,
+                     exp(m + (y - m)) - 1 AS prediction
+              FROM p JOIN y ON y.site_id = p.site_id AND y.variable = p.variable
+                AND y.pos = {drawn_index('size', 'p.site_id', 'p.variable', 'parameter', 'week')})
+        SELECT site_id, variable, datetime, {_SUMMARY} FROM d GROUP BY site_id, variable, datetime""",
+    "total low high",
+)
 def _(inp):
     return _summary(ops.mean_forecast(inp.history, "2001-11-10"), ["site_id", "variable", "datetime"])
 
@@ -214,24 +279,39 @@ def _(inp):
     return ops.diurnal_cycle(inp.halfhourly)
 
 
-@query(
-    "diurnal_windows",
-    "halfhourly",
-    f"""WITH h AS ({_MONTH}), s AS (SELECT site_id, variable, count(*) AS total, unnest(range(0, 48)) / 2.0::DOUBLE AS slot FROM h
+_WINDOWS = f"""h AS ({_MONTH}), s AS (SELECT site_id, variable, count(*) AS total, unnest(range(0, 48)) / 2.0::DOUBLE AS slot FROM h
              GROUP BY site_id, variable),
         w AS (SELECT s.*, unnest(range(0, 50)) * 0.5::DOUBLE + 0.25::DOUBLE AS win FROM s),
         c AS (SELECT w.site_id, w.variable, w.slot, w.win, w.total, count(*) AS n FROM w JOIN h ON h.site_id = w.site_id
               AND h.variable = w.variable AND abs(h.tod - w.slot) < w.win GROUP BY ALL),
         m AS (SELECT site_id, variable, slot, min(win) AS win, arg_min(n, win) AS n FROM c WHERE n >= least(10, total)
-              GROUP BY site_id, variable, slot)
-        SELECT site_id, variable, slot, win AS window, n AS size FROM m""",
+              GROUP BY site_id, variable, slot)"""
+
+
+@query(
+    "diurnal_windows",
+    "halfhourly",
+    f"WITH {_WINDOWS} SELECT site_id, variable, slot, win AS window, n AS size FROM m",
 )
 def _(inp):
     rows = ops.diurnal_windows(inp.halfhourly)
     return rows.select("site_id", "variable", "slot", "window", F.col("_size").alias("size"))
 
 
-@query("diurnal_resample", "halfhourly")
+@query(
+    "diurnal_resample",
+    "halfhourly",
+    f"""WITH {_WINDOWS},
+        o AS (SELECT *, row_number() OVER (PARTITION BY site_id, variable ORDER BY tod, datetime) AS pos FROM h),
+        f AS (SELECT m.*, (SELECT count(*) FROM h WHERE h.site_id = m.site_id AND h.variable = m.variable AND h.tod <= m.slot - m.win) AS skip,
+                     unnest(range(0, 11)) AS day FROM m),
+        p AS (SELECT *, unnest(range(1, 201)) AS parameter FROM f WHERE day < 10 OR slot = 0),
+        d AS (SELECT p.site_id, p.variable, CAST(DATE '{_FORECAST_DAY}' + CAST(day AS INTEGER) AS TIMESTAMP) AS date, o.observation AS prediction
+              FROM p JOIN o ON o.site_id = p.site_id AND o.variable = p.variable
+                AND o.pos = skip + {drawn_index('n', 'p.site_id', 'p.variable', 'day', 'CAST(slot * 60 AS INTEGER)', 'parameter')})
+        SELECT site_id, variable, date, {_SUMMARY} FROM d GROUP BY site_id, variable, date""",
+    "total low high",
+)
 def _(inp):
     draws = ops.diurnal_resample(inp.halfhourly, _FORECAST_DAY)
     return _summary(draws, ["site_id", "variable", F.to_date("datetime").alias("date")])

@@ -232,8 +232,8 @@ def _(inp):
 
 @query("score_joined_ranked", "joined", _JOINED_SCORES, f"crps logs {STAT_NAMES}")
 def _(inp):
-    # every group through the path for groups too large to gather
-    return scoring.score_joined(inp.joined, limit=0)
+    # runs of two members, so that every forecast is ranked across several
+    return scoring.score_joined(inp.joined, run_bits=1)
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallycast.functions import draws
 from tallycast.functions.normal import DENOMINATOR, NUMERATOR
 
 KEYS = (
@@ -27,6 +28,33 @@ def phi(z: str) -> str:
     return f"(CASE WHEN {z} > 0 THEN 1 - {tail} ELSE {tail} END)"
 
 
+def uniform(*keys: str, seed: int = 1) -> str:
+    """The draw in (0, 1) of its keys."""
+    return f"((('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(keys)})), 1, {draws.DIGITS}))::BIGINT::DOUBLE + 0.5) / {draws.STEPS!r}::DOUBLE)"
+
+
+def drawn_index(size: str, *keys: str) -> str:
+    """The draw from 1 to ``size`` of its keys."""
+    return f"(floor({uniform(*keys)} * {size})::BIGINT + 1)"
+
+
+def inverse_normal(u: str) -> str:
+    """The normal quantile of a column."""
+
+    def ratio(top, bottom, x):
+        def horner(coefficients):
+            text = f"{coefficients[0]!r}::DOUBLE"
+            for c in coefficients[1:]:
+                text = f"(({text}) * {x} + {c!r}::DOUBLE)"
+            return text
+
+        return f"{horner(top)} / {horner(bottom)}"
+
+    far = ratio(draws.TAIL_TOP, draws.TAIL_BOTTOM, f"sqrt(-2 * ln(least({u}, 1 - {u})))")
+    near = f"({u} - 0.5) * " + ratio(draws.CENTRE_TOP, draws.CENTRE_BOTTOM, f"(({u} - 0.5) * ({u} - 0.5))")
+    return f"(CASE WHEN {u} < {draws.TAIL} THEN {far} WHEN {u} > 1 - {draws.TAIL} THEN -({far}) ELSE {near} END)"
+
+
 def pdf(z: str) -> str:
     return f"(exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()))"
 

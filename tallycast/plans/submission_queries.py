@@ -233,6 +233,21 @@ def _(inp):
     )
 
 
+@query(
+    "bundle_summaries_write",
+    "scores scores_old",
+    "SELECT * FROM scores_old UNION ALL SELECT * FROM scores WHERE datetime > TIMESTAMP '2024-01-14 00:00:00'",
+)
+def _(inp):
+    # the summaries on disk; the delivery has a name, so the second time it comes nothing is added
+    folder = f"{shared_folder(inp.spark, 'summaries')}/parquet"
+    tables.write_bundle(inp.scores_old, folder)
+    new = inp.scores.where(F.col("datetime") > ntz(F.lit("2024-01-14 00:00:00")))
+    for _ in range(2):
+        tables.merge_partitions(new, folder, BUNDLE_PARTITIONS, ops.bundle_summaries, delivery="summaries-1")
+    return tables.read_dataset(inp.spark, folder, new.schema)
+
+
 def listed_store(inp, date: str, columns: list[str]):
     """Paths below ``store`` of the forecasts written by ``columns``, of which ``date`` is the day they were made."""
     folder = shared_folder(inp.spark, "store")

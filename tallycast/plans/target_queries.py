@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallycast.functions.timing import day, ntz
 from tallycast.operators import targets as ops
 from tallycast.plans.registry import query
+from tallycast.plans.sqltext import uniform
 from tallycast.session import shared_folder
 from tallycast.sources.tables import scan_targets, write_csv
 
@@ -350,10 +351,32 @@ def _(inp):
     return ops.fill_gaps(inp.targets, ["site_id", "variable"], day("2024-02-02"))
 
 
-@query("bootstrap_quantile_sd", "events")
+# the place of the first order statistic is found by halving the distribution of its count
+_TAIL = """list_sum(list_transform(range(k, n + 1), lambda i: exp(
+  lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(lo + w) + (n - i) * ln(1 - lo - w))))"""
+
+
+@query(
+    "bootstrap_quantile_sd",
+    "",
+    f"""SELECT date, stddev_samp(q) AS sd FROM (
+  SELECT date, b, sum(value * weight) AS q FROM (
+    SELECT date, b, unnest([greatest(least(ceil(low * n), n), 1), greatest(least(ceil(high * n), n), 1)])::BIGINT AS pos,
+           unnest([1 - part, part]) AS weight FROM (
+      SELECT *, CASE WHEN n > k THEN 1 - (1 - low) * pow(u2, 1.0::DOUBLE / (n - k)) ELSE low END AS high FROM (
+        SELECT *, list_reduce(list_concat([0.0::DOUBLE], list_transform(range(1, 54), lambda e: pow(2.0::DOUBLE, -e))),
+                              lambda lo, w: CASE WHEN {_TAIL} < u1 THEN lo + w ELSE lo END) AS low FROM (
+          SELECT *, floor((n - 1) * 0.9::DOUBLE)::BIGINT + 1 AS k, (n - 1) * 0.9::DOUBLE - floor((n - 1) * 0.9::DOUBLE) AS part,
+                 {uniform('date', 'b', "'low'")} AS u1, {uniform('date', 'b', "'high'")} AS u2 FROM (
+            SELECT date_trunc('day', ts)::TIMESTAMP AS date, count(value) AS n, unnest(range(1, 51)) AS b FROM events GROUP BY 1) g) u) l) h) p
+  JOIN (SELECT date_trunc('day', ts)::TIMESTAMP AS date, value, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY value) AS pos
+        FROM events WHERE value IS NOT NULL) v USING (date, pos)
+  GROUP BY date, b) r GROUP BY date""",
+    "sd",
+)
 def _(inp):
     images = inp.events.select(ntz(F.date_trunc("day", "ts")).alias("date"), "event_id", "value")
-    return ops.bootstrap_quantile_sd(images, ["date"], "event_id", "value")
+    return ops.bootstrap_quantile_sd(images, ["date"], "value")
 
 
 def _qc_sql(source: str, keys: str, by_depth: bool) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,32 +100,94 @@ def write_bundle(df: DataFrame, path: str, **kwargs) -> None:
     write_partitioned(df, path, BUNDLE_PARTITIONS, **kwargs)
 
 
-def merge_partitions(new: DataFrame, folder: str, columns: list[str], merge) -> None:
+#: Touched partitions up to which their names prune the scan of a merge; beyond, the join alone does.
+PRUNED_BY_NAME = 10_000
+
+
+def _files(spark: SparkSession, path: str):
+    """The path as its store knows it, and the store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _beside(folder: str, what: str) -> str:
+    return f"{folder.rstrip('/')}.{what}"
+
+
+def _write_note(spark: SparkSession, path: str, note: str) -> None:
+    """A small file that is there whole or not at all."""
+    place, files = _files(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = files.create(draft, True)
+    out.write(bytearray(note.encode()))
+    out.close()
+    files.mkdirs(place.getParent())
+    if not files.rename(draft, place):
+        raise OSError(f"cannot write {path}")
+
+
+def _swap(spark: SparkSession, folder: str) -> None:
+    """Move what the journal names from the staged folder into the dataset, and note the delivery as done.
+
+    A partition that is no longer staged has been moved before, so the swap can be broken off and repeated anywhere.
+    """
+    journal, files = _files(spark, _beside(folder, "journal"))
+    stream = files.open(journal)
+    note = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    for name in note["partitions"]:
+        staged, _ = _files(spark, f"{_beside(folder, 'staged')}/{name}")
+        if files.exists(staged):
+            place, _ = _files(spark, f"{folder}/{name}")
+            files.delete(place, True)
+            files.mkdirs(place.getParent())
+            if not files.rename(staged, place):
+                raise OSError(f"cannot move {staged}")
+    if note["delivery"] is not None:
+        _write_note(spark, f"{_beside(folder, 'deliveries')}/{note['delivery']}", "")
+    files.delete(journal, False)
+    files.delete(_files(spark, _beside(folder, "staged"))[0], True)
+
+
+def recover(spark: SparkSession, folder: str) -> None:
+    """Finish a merge that broke off after its content was staged. Readers call it as well as the next merge does."""
+    if folder_exists(spark, _beside(folder, "journal")):
+        _swap(spark, folder)
+
+
+def merge_partitions(new: DataFrame, folder: str, columns: list[str], merge, delivery: str | None = None) -> None:
     """Merge a delivery into a stored dataset; only partitions it touches are read and replaced.
 
-    ``merge(new, old)`` gives the new content of those partitions. It is written to a folder beside first and then
-    swapped in partition by partition, so a run that breaks off leaves old or new partitions, never half ones, and a run
-    that is repeated with the same delivery gives the same dataset if ``merge`` does.
+    ``merge(new, old)`` gives the new content of those partitions. It is staged in a folder beside. A journal then
+    names the staged partitions, and they are moved into place one by one. A run that breaks off before the journal has
+    changed nothing; one that breaks off later is finished by :func:`recover`. A ``delivery`` with a name is merged once,
+    however often it comes. A dataset has one writer at a time.
     """
     spark = new.sparkSession
-    touched = new.select(*columns).distinct()
-    if not folder_exists(spark, folder):
-        write_partitioned(merge(new, new.limit(0)), folder, columns)
+    recover(spark, folder)
+    if delivery is not None and folder_exists(spark, f"{_beside(folder, 'deliveries')}/{delivery}"):
         return
-    old = spark.read.schema(new.schema).parquet(folder)
-    # names of partitions, which are folders that the driver lists anyway, prune the scan; the join is exact
-    names = touched.collect()
-    for c in columns:
-        values = {r[c] for r in names}
-        if None not in values:
-            old = old.where(F.col(c).isin(*values))
-    old = old.join(touched.withColumnsRenamed({c: f"_t_{c}" for c in columns}), [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns], "left_semi")
-    stage = f"{folder.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    write_partitioned(merge(new, old.select(*new.columns)), stage, columns)
-    staged = spark.read.schema(new.schema).parquet(stage)
-    write_partitioned(staged.select(*new.columns), folder, columns)
-    place = spark._jvm.org.apache.hadoop.fs.Path(stage)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    old = new.limit(0)
+    if folder_exists(spark, folder):
+        touched = new.select(*columns).distinct()
+        old = spark.read.schema(new.schema).parquet(folder)
+        names = touched.limit(PRUNED_BY_NAME + 1).collect()
+        for c in columns if len(names) <= PRUNED_BY_NAME else []:
+            values = {r[c] for r in names}
+            if None not in values:
+                old = old.where(F.col(c).isin(*values))
+        on = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns]
+        old = old.join(touched.withColumnsRenamed({c: f"_t_{c}" for c in columns}), on, "left_semi").select(*new.columns)
+    stage = _beside(folder, "staged")
+    place, files = _files(spark, stage)
+    files.delete(place, True)  # of a run that broke off before its journal
+    write_partitioned(merge(new, old), stage, columns)
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(stage + "/*=*" * len(columns)))
+    # partition names of one delivery, which the driver lists for the write as well
+    depth = len(columns)
+    partitions = ["/".join(f.getPath().toString().split("/")[-depth:]) for f in found or []]
+    _write_note(spark, _beside(folder, "journal"), json.dumps({"partitions": sorted(partitions), "delivery": delivery}))
+    _swap(spark, folder)
 
 
 def folder_exists(spark: SparkSession, path: str) -> bool:

@@ -58,12 +58,27 @@ def test_a_group_with_most_rows_is_ranked_in_many_ranges(spark, skewed, monkeypa
     assert len(sizes) >= 3 and max(sizes) < 0.6 * sum(sizes)
 
 
-def test_split_by_size_keeps_every_row(skewed):
+def test_ranks_across_sorted_runs(spark, skewed, monkeypatch):
+    monkeypatch.setattr(ranks, "RUN_SAMPLES", 8)
     df, rows = skewed
-    ordinary, large = ranks.split_by_size(df, ["k"], limit=100)
-    assert large.select("k").distinct().collect()[0]["k"] == "hot"
-    assert ordinary.count() + large.count() == len(rows)
-    assert ranks.split_by_size(df, ["k"], limit=10_000)[1] is None
+    numbered = df.where("v IS NOT NULL").withColumn("number", F.monotonically_increasing_id().cast("string"))
+    runs = numbered.groupBy("k", ranks.member_run(F.col("number"), 6).alias("_run")).agg(F.array_sort(F.collect_list("v")).alias("_x"))
+    got = ranks.run_ranks(runs, ["k"])
+    for k in ("hot", "small", None):
+        values = sorted(v for key, v in rows if key == k and v is not None)
+        mine = got.where(F.col("k").eqNullSafe(F.lit(k))).collect()
+        assert sorted(r["_v"] for r in mine) == sorted(set(values))
+        for r in mine:
+            assert r["_before"] == np.searchsorted(values, r["_v"], "left")
+            assert r["_before"] + r["_n"] == np.searchsorted(values, r["_v"], "right")
+            assert r["_m"] == len(values)
+
+
+def test_members_without_a_number_have_runs_of_their_own(spark):
+    df = spark.createDataFrame([("1",), ("65535",), ("65536",), ("a",), ("b",), (None,)], "n string")
+    runs = [r[0] for r in df.select(ranks.member_run(F.col("n"))).collect()]
+    assert runs[:3] == [0, 0, 1] and len(set(runs[:5])) == 4
+    assert runs[5] == 0  # without a name
 
 
 def test_keep_extreme_breaks_ties_by_the_row(spark):

@@ -1,10 +1,11 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallycast.functions.timing import ntz
-from tallycast.operators import boards, scoring
+from tallycast.operators import boards, ranks, scoring
 from tallycast.schema import FORECASTS, SCORE_GROUP, SCORE_VALUES, TARGETS
 
 DAY = dt.datetime(2024, 1, 10)
@@ -72,26 +73,40 @@ def test_revised_observations_are_scored_again(spark, stored, now, fresh):
     assert (scoring.fresh_scores(scores, targets(spark, [target(now)])).count() == 1) is fresh
 
 
-def test_large_groups_score_as_ordinary_ones(spark):
-    rows = [forecast(str(i), float((i * 37) % 101) + 0.25 * (i % 3), model=m) for i in range(400) for m in ("a", "b")]
+def test_forecasts_of_several_runs_score_as_ordinary_ones(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "RUN_SAMPLES", 4)
+    # one forecast has most rows
+    rows = [forecast(str(i), float((i * 37) % 101) + 0.25 * (i % 3), model=m) for m, n in (("a", 1500), ("b", 40)) for i in range(n)]
+    rows += [forecast(f"member {i}", float(i % 7), model="named") for i in range(20)]
     rows += [forecast("1", 2.0, model="single"), forecast("1", 2.0, model="flat"), forecast("2", 2.0, model="flat")]
     joined = frame(spark, rows).withColumn("observation", F.lit(42.5))
     whole = {r["model_id"]: r for r in scoring.score_joined(joined).collect()}
-    split = {r["model_id"]: r for r in scoring.score_joined(joined, limit=300).collect()}
-    ranked = {r["model_id"]: r for r in scoring.score_joined(joined, limit=0).collect()}
-    for other in (split, ranked):
+    for bits in (5, 0):
+        other = {r["model_id"]: r for r in scoring.score_joined(joined, run_bits=bits).collect()}
         assert other.keys() == whole.keys()
         for model, row in whole.items():
             for name in SCORE_VALUES:
                 assert other[model][name] == (None if row[name] is None else pytest.approx(row[name], abs=1e-9)), name
     assert whole["flat"]["logs"] is None and whole["single"]["sd"] is None
     assert whole["single"]["crps"] == pytest.approx(40.5)
+    members = np.sort([r[-2] for r in rows if r[1] == "a"])
+    assert whole["a"]["median"] == pytest.approx(np.quantile(members, 0.5)) and whole["a"]["sd"] == pytest.approx(members.std(ddof=1))
+
+
+def test_input_of_scores_is_read_once(spark, tmp_path):
+    rows = [forecast(str(i), float(i), model=m) for i in range(6) for m in "abc"]
+    frame(spark, rows).withColumn("observation", F.lit(2.0)).write.parquet(str(tmp_path / "joined"))
+    read = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda v: (read.add(1), v)[1], "double")
+    joined = spark.read.parquet(str(tmp_path / "joined")).withColumn("prediction", seen.asNondeterministic()("prediction"))
+    assert scoring.score_joined(joined).count() == 3
+    assert read.value == len(rows)
 
 
 def test_size_of_parametric_groups_does_not_matter(spark):
     rows = [forecast("mu", 1.0, family="normal"), forecast("sigma", 2.0, family="normal"), forecast("1", 3.0), forecast("2", 4.0)]
     joined = frame(spark, rows).withColumn("observation", F.lit(1.0))
-    whole, ranked = ({r["family"]: r["crps"] for r in scoring.score_joined(joined, limit=k).collect()} for k in (100, 0))
+    whole, ranked = ({r["family"]: r["crps"] for r in scoring.score_joined(joined, run_bits=k).collect()} for k in (16, 0))
     assert whole == pytest.approx(ranked) and set(whole) == {"normal", "sample"}
 
 

@@ -45,11 +45,22 @@ def test_densify_has_every_combination(spark):
 
 def test_bootstrap_is_reproducible(spark):
     images = spark.range(500).select((F.col("id") % 2).alias("date"), "id", F.sqrt("id").alias("v"))
-    one = sorted(map(tuple, ops.bootstrap_quantile_sd(images.repartition(1), ["date"], "id", "v").collect()))
-    two = sorted(map(tuple, ops.bootstrap_quantile_sd(images.repartition(7), ["date"], "id", "v").collect()))
+    one = sorted(map(tuple, ops.bootstrap_quantile_sd(images.repartition(1), ["date"], "v").collect()))
+    two = sorted(map(tuple, ops.bootstrap_quantile_sd(images.repartition(7), ["date"], "v").collect()))
     assert [o[0] for o in one] == [t[0] for t in two]
     assert [o[1] for o in one] == pytest.approx([t[1] for t in two])
-    assert all(0 < o[1] < 3 for o in one)
+    # the spread of resampling in full
+    rng = np.random.default_rng(4)
+    for date, sd in one:
+        values = np.sqrt(np.arange(date, 500, 2))
+        spread = np.std([np.quantile(rng.choice(values, len(values)), 0.9) for _ in range(2000)])
+        assert 0.6 * spread < sd < 1.5 * spread
+
+
+def test_bootstrap_of_few_values(spark):
+    images = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("b", 3.0), (None, 2.0), ("c", None)], "date string, v double")
+    got = {r["date"]: r["sd"] for r in ops.bootstrap_quantile_sd(images, ["date"], "v").collect()}
+    assert got["a"] == 0 and got[None] == 0 and 0 < got["b"] < 1.5 and len(got) == 3
 
 
 def test_random_walk_paths(spark):
