@@ -20,12 +20,12 @@ def with_site_location(df: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def latest_forecasts(summaries: DataFrame, sites: DataFrame, today: Column, lag_days: int = 2) -> DataFrame:
-    """Per variable the newest forecast issued before ``today - lag_days``, at times after its issue."""
+    """Per duration and variable the newest forecast issued before ``today - lag_days``, at times after its issue."""
     issued = summaries.where(F.col("reference_datetime") < ntz(F.date_sub(today, lag_days)))
-    newest = issued.groupBy("variable").agg(F.max("reference_datetime").alias("reference_datetime"))
-    hidden = ["project_id", "family", "sd", "duration", "pub_datetime"]
+    newest = issued.groupBy("duration", "variable").agg(F.max("reference_datetime").alias("reference_datetime"))
+    hidden = ["project_id", "family", "sd", "pub_datetime"]
     rows = summaries.where(F.col("datetime") > F.col("reference_datetime")).drop(*hidden)
-    return with_site_location(rows.join(newest, ["variable", "reference_datetime"]), sites)
+    return with_site_location(rows.join(newest, ["duration", "variable", "reference_datetime"]), sites)
 
 
 def recent_scores(
@@ -57,16 +57,20 @@ def leaderboard(scores: DataFrame, by: list[str], *, last_day: bool = False) ->
     return rows.groupBy(*by).agg(F.avg("crps").alias("crps"))
 
 
+#: Forecasts of unlike durations are never averaged with each other.
+BOARD = ["duration", "variable", "model_id"]
+
+
 def leaderboard_by_model(scores: DataFrame) -> DataFrame:
-    return leaderboard(scores, ["variable", "model_id"])
+    return leaderboard(scores, BOARD)
 
 
 def leaderboard_by_reference(scores: DataFrame) -> DataFrame:
-    return leaderboard(scores, ["variable", "model_id", "reference_datetime"], last_day=True)
+    return leaderboard(scores, [*BOARD, "reference_datetime"], last_day=True)
 
 
 def leaderboard_by_horizon(scores: DataFrame) -> DataFrame:
-    return leaderboard(scores, ["variable", "model_id", "horizon"])
+    return leaderboard(scores, [*BOARD, "horizon"])
 
 
 def leaderboard_weekly(scores: DataFrame, excluded: list[str]) -> DataFrame:
@@ -80,16 +84,9 @@ def leaderboard_weekly(scores: DataFrame, excluded: list[str]) -> DataFrame:
     )
     strict = F.when(F.col("horizon") < MAX_DAYS, F.col("crps"))
     reference, horizon = F.col("reference_datetime"), F.col("horizon")
+    board_keys = [F.col(c) for c in BOARD]
     grouped = rows.groupingSets(
-        [
-            [F.col("variable"), F.col("model_id")],
-            [F.col("variable"), F.col("model_id"), reference],
-            [F.col("variable"), F.col("model_id"), horizon],
-        ],
-        F.col("variable"),
-        F.col("model_id"),
-        reference,
-        horizon,
+        [board_keys, [*board_keys, reference], [*board_keys, horizon]], *board_keys, reference, horizon
     ).agg(
         F.grouping("reference_datetime").alias("_all_references"),
         F.grouping("horizon").alias("_all_horizons"),
@@ -101,8 +98,7 @@ def leaderboard_weekly(scores: DataFrame, excluded: list[str]) -> DataFrame:
     board = F.when(by_reference, "reference").when(F.col("_all_horizons") == 0, "horizon").otherwise("model")
     return grouped.where(by_reference | (F.col("_inside") > 0)).select(
         board.alias("board"),
-        "variable",
-        "model_id",
+        *BOARD,
         "reference_datetime",
         "horizon",
         F.when(by_reference, F.col("_to_last_day")).otherwise(F.col("_before_last_day")).alias("crps"),

@@ -17,17 +17,17 @@ _SUMMARY = "model_id, site_id, datetime, reference_datetime, variable, mean, med
 
 
 def _summaries(inp):
-    return inp.scores.drop("observation", "crps", "logs")
+    return inp.scores_durations.drop("observation", "crps", "logs")
 
 
 @query(
     "latest_forecasts",
-    "scores sites",
-    f"""SELECT s.model_id, s.site_id, s.datetime, s.reference_datetime, s.variable, s.mean, s.median, s.quantile97_5,
+    "scores_durations sites",
+    f"""SELECT s.duration, s.model_id, s.site_id, s.datetime, s.reference_datetime, s.variable, s.mean, s.median, s.quantile97_5,
                s.quantile02_5, s.quantile90, s.quantile10, p.latitude, p.longitude
-        FROM scores s JOIN (SELECT variable, max(reference_datetime) AS r FROM scores
-                            WHERE reference_datetime < TIMESTAMP '{TODAY} 00:00:00' - INTERVAL 2 DAY GROUP BY variable) n
-             ON s.variable = n.variable AND s.reference_datetime = n.r
+        FROM scores_durations s JOIN (SELECT duration, variable, max(reference_datetime) AS r FROM scores_durations
+                            WHERE reference_datetime < TIMESTAMP '{TODAY} 00:00:00' - INTERVAL 2 DAY GROUP BY duration, variable) n
+             ON s.duration = n.duration AND s.variable = n.variable AND s.reference_datetime = n.r
         JOIN sites p ON p.field_site_id = s.site_id WHERE s.datetime > s.reference_datetime""",
 )
 def _(inp):
@@ -59,23 +59,23 @@ def _(inp):
 
 
 def _board_sql(by: str, upper: str = "<") -> str:
-    return f"""SELECT {by}, avg(crps) AS crps FROM (SELECT *, {_LEAD} AS horizon FROM scores) s
+    return f"""SELECT {by}, avg(crps) AS crps FROM (SELECT *, {_LEAD} AS horizon FROM scores_durations) s
                WHERE horizon > 0 AND horizon {upper} 35 GROUP BY {by}"""
 
 
-@query("leaderboard_by_model", "scores", _board_sql("variable, model_id"), "crps")
+@query("leaderboard_by_model", "scores_durations", _board_sql("duration, variable, model_id"), "crps")
 def _(inp):
-    return boards.leaderboard_by_model(inp.scores)
+    return boards.leaderboard_by_model(inp.scores_durations)
 
 
-@query("leaderboard_by_reference", "scores", _board_sql("variable, model_id, reference_datetime", "<="), "crps")
+@query("leaderboard_by_reference", "scores_durations", _board_sql("duration, variable, model_id, reference_datetime", "<="), "crps")
 def _(inp):
-    return boards.leaderboard_by_reference(inp.scores)
+    return boards.leaderboard_by_reference(inp.scores_durations)
 
 
-@query("leaderboard_by_horizon", "scores", _board_sql("variable, model_id, horizon"), "crps")
+@query("leaderboard_by_horizon", "scores_durations", _board_sql("duration, variable, model_id, horizon"), "crps")
 def _(inp):
-    return boards.leaderboard_by_horizon(inp.scores)
+    return boards.leaderboard_by_horizon(inp.scores_durations)
 
 
 @query(
@@ -92,19 +92,19 @@ def _(inp):
 
 @query(
     "leaderboard_weekly",
-    "scores",
-    f"""WITH s AS (SELECT *, {_LEAD} AS horizon FROM scores WHERE observation IS NOT NULL AND model_id NOT IN ('m2'))
-        SELECT 'model' AS board, variable, model_id, CAST(NULL AS TIMESTAMP) AS reference_datetime,
+    "scores_durations",
+    f"""WITH s AS (SELECT *, {_LEAD} AS horizon FROM scores_durations WHERE observation IS NOT NULL AND model_id NOT IN ('m2'))
+        SELECT 'model' AS board, duration, variable, model_id, CAST(NULL AS TIMESTAMP) AS reference_datetime,
                CAST(NULL AS DOUBLE) AS horizon, avg(crps) AS crps
-        FROM s WHERE horizon > 0 AND horizon < 35 GROUP BY variable, model_id
-        UNION ALL SELECT 'reference', variable, model_id, reference_datetime, NULL, avg(crps)
-        FROM s WHERE horizon > 0 AND horizon <= 35 GROUP BY variable, model_id, reference_datetime
-        UNION ALL SELECT 'horizon', variable, model_id, NULL, horizon, avg(crps)
-        FROM s WHERE horizon > 0 AND horizon < 35 GROUP BY variable, model_id, horizon""",
+        FROM s WHERE horizon > 0 AND horizon < 35 GROUP BY duration, variable, model_id
+        UNION ALL SELECT 'reference', duration, variable, model_id, reference_datetime, NULL, avg(crps)
+        FROM s WHERE horizon > 0 AND horizon <= 35 GROUP BY duration, variable, model_id, reference_datetime
+        UNION ALL SELECT 'horizon', duration, variable, model_id, NULL, horizon, avg(crps)
+        FROM s WHERE horizon > 0 AND horizon < 35 GROUP BY duration, variable, model_id, horizon""",
     "crps",
 )
 def _(inp):
-    return boards.leaderboard_weekly(inp.scores, ["m2"])
+    return boards.leaderboard_weekly(inp.scores_durations, ["m2"])
 
 
 @query(

@@ -161,6 +161,17 @@ def _scores_old(d: Dialect) -> str:
     return f"SELECT {columns} FROM scores WHERE datetime < TIMESTAMP '2024-01-16 00:00:00'"
 
 
+def _scores_durations(d: Dialect) -> str:
+    """Scores of daily forecasts, and of weekly and hourly ones of the same models and variables."""
+    return f"""
+SELECT * FROM scores
+UNION ALL
+SELECT project_id, model_id, site_id, datetime, CAST(reference_datetime - INTERVAL 1 DAY AS {d.ts}) AS reference_datetime,
+       CASE WHEN extract(day FROM datetime) % 7 = 1 THEN 'P1W' ELSE 'PT1H' END AS duration, variable, family, pub_datetime,
+       observation, crps * 2 + 1 AS crps, logs, mean + 1 AS mean, median, sd, quantile97_5, quantile02_5, quantile90, quantile10
+FROM scores WHERE extract(day FROM datetime) % 7 < 2"""
+
+
 def _sites(d: Dialect) -> str:
     return """
 SELECT site_id AS field_site_id, CAST(20 + s % 40 AS DOUBLE) AS latitude, CAST(-60 - s % 100 AS DOUBLE) AS longitude
@@ -443,6 +454,7 @@ INPUTS = {
     "joined_parametric": (_joined_parametric, ["targets"]),
     "scores": (_scores, ["targets"]),
     "scores_old": (_scores_old, ["scores"]),
+    "scores_durations": (_scores_durations, ["scores"]),
     "sites": (_sites, ["targets"]),
     "air_raw": (_air_raw, []),
     "buoy_raw": (_buoy_raw, []),
