@@ -195,27 +195,36 @@ def _expected(model: LabelModel, n: int):
             full = np.hstack([votes, np.ones((len(votes), 1))])
             for k, share in enumerate((toxic, 1 - toxic)):
                 total[k] += full.T @ (full * (count * share)[:, None])
-        yield _cells(total)
+        yield _lines(total)
 
     return run
 
 
-def _cells(total: np.ndarray) -> pa.RecordBatch:
-    """What is not zero in the upper triangles of symmetric matrices."""
-    cells = np.triu(total).ravel()
-    which = np.flatnonzero(cells)
-    return pa.RecordBatch.from_pydict({"cell": which, "total": cells[which]})
+def _lines(total: np.ndarray) -> pa.RecordBatch:
+    """A task's matrices by lines: as many rows as there are voters, each with its doubles as bytes."""
+    lines = total.reshape(-1, total.shape[-1])
+    return pa.RecordBatch.from_pydict({"line": np.arange(len(lines)), "doubles": [line.tobytes() for line in lines]})
+
+
+def _added(batches):
+    """The sum of each line; a task holds those dealt to it, at most the matrices themselves."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for line, doubles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            total[line] = total.get(line, 0) + np.frombuffer(doubles)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int64()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["line", "doubles"]
+    )
 
 
 def _summed(patterns: DataFrame, run, shape: tuple[int, ...]) -> np.ndarray:
-    """The sum over all tasks of the cells that ``run`` makes of a task's patterns."""
-    sums = patterns.mapInArrow(run, "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).toArrow()
-    total = np.zeros(math.prod(shape))  # as many as the square of the number of voters
-    total[sums.column("cell").to_numpy()] = sums.column("total").to_numpy()
-    total = total.reshape(shape)
-    n = shape[-2]
-    total[..., :n] += np.triu(total[..., :n], 1).swapaxes(-1, -2)
-    return total
+    """The sum over all tasks of the lines that ``run`` makes of a task's patterns."""
+    kind = "line long, doubles binary"
+    sums = patterns.mapInArrow(run, kind).repartition("line").mapInArrow(_added, kind).toArrow()
+    total = np.zeros((math.prod(shape[:-1]), shape[-1]))  # as many as the square of the number of voters
+    for line, doubles in zip(sums.column("line").to_pylist(), sums.column("doubles").to_pylist()):
+        total[line] += np.frombuffer(doubles)
+    return total.reshape(shape)
 
 
 def _together(pairs: np.ndarray, n: int) -> np.ndarray:
@@ -288,7 +297,7 @@ def _fit_patterns(patterns: DataFrame, model: LabelModel, n: int) -> tuple[np.nd
             for batch in in_slices(batches, PATTERNS_AT_ONCE):
                 votes = _unpacked(batch.column(0).to_pylist(), n)
                 total += _slopes(votes, np.asarray(batch.column(1), dtype=np.float64), model.posterior(votes), w)
-            yield _cells(total)
+            yield _lines(total)
 
         return run
 

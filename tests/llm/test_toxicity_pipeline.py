@@ -50,14 +50,30 @@ def test_held_out_labels_are_found(spark):
     assert left.columns == docs.columns and left.count() == sum(not r["predicted"] for r in got)
 
 
-def test_regression_reads_every_pattern(spark, monkeypatch):
-    rows, toxic = corpus(300)
-    docs = h.table(spark, rows)
-    labels = spark.createDataFrame(list(toxic.items()), "doc_id long, toxic int")
-    whole = toxicity.fit(docs, labels)
-    monkeypatch.setattr(toxicity, "PATTERN_SAMPLE", 5, raising=False)  # a sample of patterns would change the weights
-    again = toxicity.fit(docs, labels)
-    assert np.allclose(whole.weights, again.weights, atol=1e-6) and abs(whole.base - again.base) < 1e-6
+def test_moments_are_those_of_all_texts(spark):
+    r = np.random.default_rng(5)
+    n = 5 + len(toxicity.PATTERNS)
+    votes = np.unique(r.random((800, n)) < 0.3, axis=0).astype(float)
+    count = r.integers(1, 9, len(votes))
+    model = toxicity.LabelModel(np.linspace(0.2, 0.6, n), np.linspace(0.05, 0.3, n), 0.2)
+    table = [(bytearray(np.packbits(v.astype(np.uint8)).tobytes()), int(c)) for v, c in zip(votes, count)]
+    want = np.zeros((2, n + 1, n + 1))
+    # text by text, pair of votes by pair of votes
+    for v, c in zip(votes, count):
+        odds = np.log(0.2 / 0.8) + sum(np.log(model.rate1[k] / model.rate0[k]) for k in range(n) if v[k])
+        odds += 0 if v[model.any] else np.log((1 - model.rate1[model.any]) / (1 - model.rate0[model.any]))
+        toxic = 1 / (1 + np.exp(-odds))
+        fired = [*np.flatnonzero(v), n]
+        for i in fired:
+            for j in fired:
+                want[0, i, j] += c * toxic
+                want[1, i, j] += c * (1 - toxic)
+    patterns = spark.createDataFrame(table, "votes binary, n long")
+    for parts in (1, 7):
+        got = toxicity._summed(patterns.repartition(parts), toxicity._expected(model, n), (2, n + 1, n + 1))
+        assert np.allclose(got, want)
+    nothing = toxicity._summed(patterns.limit(0), toxicity._expected(model, n), (2, n + 1, n + 1))
+    assert not nothing.any()
 
 
 def test_distributed_steps_are_those_of_one_table(spark):
