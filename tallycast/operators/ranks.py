@@ -81,7 +81,7 @@ def run_ranks(runs: DataFrame, keys: list[str]) -> DataFrame:
     size = F.size("_x")
     every = F.greatest(F.floor(size / RUN_SAMPLES), F.lit(1)).cast("int")
     spaced = F.transform(F.sequence(every - 1, size - 1, every), lambda i: F.get("_x", i))
-    cuts = runs.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list(spaced))).alias("_s"))
+    cuts = runs.groupBy(*keys).agg(F.sort_array(F.flatten(F.collect_list(spaced))).alias("_s"))
     ends = F.array_distinct(F.filter("_s", lambda v, i: i % RUN_SAMPLES == RUN_SAMPLES - 1))
     cut = null_safe_join(runs.select(*keys, "_run", "_x"), cuts.select(*keys, ends.alias("_ends")), keys)
     # within a run: its members and the ends of the ranges, a member before an end it equals

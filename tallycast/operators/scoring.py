@@ -197,7 +197,7 @@ def _by_family(rows: DataFrame, keys: list[str], summaries: bool, scored: bool,
     run = F.when(is_member, member_run(F.col("parameter"), run_bits)).otherwise(F.lit(0).cast("long"))
     member = F.when(is_member, F.col("prediction"))
     wide = known.groupBy(*keys, run.alias("_run")).agg(
-        F.array_sort(F.collect_list(member)).alias("_x"),
+        F.sort_array(F.collect_list(member)).alias("_x"),
         F.avg(member).alias("_mean"),
         F.stddev_samp(member).alias("_sd"),
         *[F.max(F.when(F.col("parameter") == n, F.col("prediction"))).alias(f"_p_{n}") for n in names],
