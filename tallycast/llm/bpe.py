@@ -3,7 +3,8 @@
 A pre-token starts as a linked list of bytes. Every pair that the vocabulary can merge waits in the bucket of its
 rank. A bitmap over the ranks, words of 256 bits under one word that says which are not empty, names the lowest rank
 with something waiting by two find-first-set steps. Entries whose pair is gone by the time they come up are skipped.
-A pre-token of n bytes costs O(n log n), so very long ones are no danger.
+A pre-token of n bytes costs O(n log n), so very long ones are no danger. Pre-tokens that a task has not met yet share
+one queue: they lie side by side, nothing merges across their borders, and each rank comes up once for all of them.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ import base64
 import heapq
 import re
 import sys
+from array import array
 from collections.abc import Callable
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import cloudpickle
@@ -27,16 +30,16 @@ from tallycast.llm.common import in_slices
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Pre-tokens remembered by a task in each of two generations, and the longest that is.
-REMEMBERED, REMEMBERED_CHARS = 100_000, 48
-#: Matches held at once for one text.
-MATCHES_AT_ONCE = 1 << 20
+REMEMBERED, REMEMBERED_CHARS = 250_000, 48
+#: Matches held at once, and characters of pre-tokens merged at once (a longer pre-token is merged alone).
+MATCHES_AT_ONCE, BYTES_AT_ONCE = 1 << 17, 1 << 15
 _BITS = [1 << k for k in range(256)]
 
 
 class RankQueue:
     """Positions waiting by rank; ``pop`` gives the leftmost of the lowest rank.
 
-    ``Codec.merge`` has the same steps written out, as they are its inner loop.
+    ``Codec.merge`` has the same steps written out, as they are its inner loop, and takes a bucket at a time.
     """
 
     def __init__(self, ranks: int):
@@ -82,22 +85,34 @@ class Codec:
         ascii_pattern = pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(r"[^\s", r"[^\t-\r ")
         ascii_pattern = re.sub(r" \?(A-Za-z|0-9)\+", r" ?[\1]+", ascii_pattern)
         self.ascii_pattern = re.compile(ascii_pattern.replace(r"\s", r"[\t-\r ]"), re.ASCII)
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        get = self.ranks.get
-        whole = get(piece)
-        if whole is not None:
-            return [whole]
-        n = len(piece)
-        words, buckets, top, bits = self.queue.words, self.queue.buckets, 0, _BITS
-        ends = list(range(1, n + 1))  # where the token at a position ends
-        ends.append(n)
+        self.bytes_ids = [ranks.get(bytes([k]), -1) for k in range(256)]
+        self.memo: dict[str, bytes] = {}  # ids as 32-bit integers
+        self.older: dict[str, bytes] = {}
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token as 32-bit integers; one queue holds the pairs of all of them.
+
+        A bucket that comes up is worked through from left to right. Should a merge make a pair of a lower rank, the
+        rest of the bucket waits for that one.
+        """
+        get, bits = self.ranks.get, _BITS
+        words, buckets, top = self.queue.words, self.queue.buckets, 0
+        data = b"".join(pieces)
+        n = len(data)
+        token = list(map(self.bytes_ids.__getitem__, data))  # the id of the token that starts at a position
+        ends = list(range(1, n + 1))  # where that token ends
         before = list(range(-1, n))
         waiting = [-1] * (n + 1)  # the rank of the pair that starts at a position
+        outer = bytearray(n + 1)  # where a pre-token starts: nothing merges across
+        outer[n] = 1
+        at = 0
+        for piece in pieces:
+            outer[at] = 1
+            at += len(piece)
         for i in range(n - 1):
-            rank = get(piece[i : i + 2])
+            if outer[i + 1]:
+                continue
+            rank = get(data[i : i + 2])
             if rank is not None:
                 waiting[i] = rank
                 there = buckets.get(rank)
@@ -106,71 +121,122 @@ class Codec:
                     words[rank >> 8] |= bits[rank & 255]
                     top |= 1 << (rank >> 8)
                 else:
-                    there.append(i)  # positions come in order
+                    there.append(i)
         while top:
             k = (top & -top).bit_length() - 1
             word = words[k]
             bit = word & -word
             rank = (k << 8) + bit.bit_length() - 1
-            there = buckets[rank]
+            words[k] = word ^ bit
+            if word == bit:
+                top ^= 1 << k
+            there = buckets.pop(rank)
             if len(there) > 1:
-                i = heapq.heappop(there)
+                there.sort()
+            for done, i in enumerate(there, 1):
+                if waiting[i] != rank:
+                    continue
+                gone = ends[i]
+                end = ends[i] = ends[gone]
+                token[i] = rank
+                waiting[gone] = waiting[i] = -1
+                before[end] = i
+                lowest = rank
+                if not outer[i]:
+                    a = before[i]
+                    new = get(data[a:end])
+                    if new is None:
+                        waiting[a] = -1
+                    elif waiting[a] != new:
+                        waiting[a] = new
+                        if new < lowest:
+                            lowest = new
+                        bucket = buckets.get(new)
+                        if bucket is None:
+                            buckets[new] = [a]
+                            words[new >> 8] |= bits[new & 255]
+                            top |= 1 << (new >> 8)
+                        else:
+                            bucket.append(a)
+                if not outer[end]:
+                    new = get(data[i : ends[end]])
+                    if new is not None:
+                        waiting[i] = new
+                        if new < lowest:
+                            lowest = new
+                        bucket = buckets.get(new)
+                        if bucket is None:
+                            buckets[new] = [i]
+                            words[new >> 8] |= bits[new & 255]
+                            top |= 1 << (new >> 8)
+                        else:
+                            bucket.append(i)
+                if lowest < rank and done < len(there):
+                    buckets[rank] = there[done:]
+                    words[rank >> 8] |= bits[rank & 255]
+                    top |= 1 << (rank >> 8)
+                    break
+        out, i = [], 0
+        for piece in pieces:
+            stop, ids = i + len(piece), array("i")
+            while i < stop:
+                ids.append(token[i])
+                i = ends[i]
+            out.append(ids.tobytes())
+        return out
+
+    def _learn(self, chunks: list[list[str]]) -> None:
+        """Puts every match of ``chunks`` into the memory."""
+        if len(self.memo) > REMEMBERED:
+            # what has not been met since the last change of generations is forgotten
+            self.older, self.memo = self.memo, {}
+        memo, older, whole = self.memo, self.older, self.ranks.get
+        unmet, size = [], 0
+        for piece in set(chain.from_iterable(chunks)).difference(memo):
+            if (ids := older.get(piece)) is not None:
+                memo[piece] = ids
+            elif (rank := whole(piece.encode("utf-8"))) is not None:
+                memo[piece] = array("i", (rank,)).tobytes()
             else:
-                i = there[0]
-                del buckets[rank]
-                words[k] = word ^ bit
-                if word == bit:
-                    top ^= 1 << k
-            if waiting[i] != rank:
+                unmet.append(piece)
+                size += len(piece)
+                if size > BYTES_AT_ONCE:
+                    memo.update(zip(unmet, self.merge([p.encode("utf-8") for p in unmet])))
+                    unmet, size = [], 0
+        memo.update(zip(unmet, self.merge([p.encode("utf-8") for p in unmet])))
+
+    def packed(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        matches = 0
+
+        def flush():
+            chunks = [chunk for _, chunk in held]
+            self._learn(chunks)
+            ids = self.memo.__getitem__
+            for k, chunk in held:
+                out[k].append(b"".join(map(ids, chunk)))
+            for piece in {p for chunk in chunks for p in chunk if len(p) > REMEMBERED_CHARS}:
+                del self.memo[piece]
+            held.clear()
+
+        for k, text in enumerate(texts):
+            if not text:
                 continue
-            gone = ends[i]
-            end = ends[i] = ends[gone]
-            waiting[gone] = -1
-            before[end] = i
-            for a in (before[i], i):
-                if a < 0:
-                    continue
-                middle = ends[a]
-                rank = get(piece[a : ends[middle]]) if middle < n else None
-                if rank is None:
-                    waiting[a] = -1
-                elif waiting[a] != rank:
-                    waiting[a] = rank
-                    there = buckets.get(rank)
-                    if there is None:
-                        buckets[rank] = [a]
-                        words[rank >> 8] |= bits[rank & 255]
-                        top |= 1 << (rank >> 8)
-                    else:
-                        heapq.heappush(there, a)
-        ids, i = [], 0
-        while i < n:
-            end = ends[i]
-            ids.append(get(piece[i:end]))
-            i = end
-        return ids
-
-    def _ids_of(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = tuple(self.merge(piece.encode("utf-8")))
-        if len(piece) <= REMEMBERED_CHARS:
-            if len(self.memo) >= REMEMBERED:
-                # what has not been met since the last change of generations is forgotten
-                self.older = dict(self.memo)
-                self.memo.clear()
-            self.memo[piece] = ids
-        return ids
+            pattern = self.ascii_pattern if text.isascii() else self.pattern
+            found = (m.group() for m in pattern.finditer(text)) if len(text) > MATCHES_AT_ONCE else iter(pattern.findall(text))
+            while chunk := list(islice(found, MATCHES_AT_ONCE)):
+                held.append((k, chunk))
+                matches += len(chunk)
+                if matches > MATCHES_AT_ONCE:
+                    flush()
+                    matches = 0
+        flush()
+        return [b"".join(parts) for parts in out]
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        pattern = self.ascii_pattern if text.isascii() else self.pattern
-        memo, ids_of, out = self.memo, self._ids_of, []
-        matches = (m.group() for m in pattern.finditer(text)) if len(text) > MATCHES_AT_ONCE else iter(pattern.findall(text))
-        while chunk := list(islice(matches, MATCHES_AT_ONCE)):
-            out.extend(chain.from_iterable([memo.get(p) or ids_of(p) for p in chunk]))
-        return out
+        return array("i", self.packed([text])[0]).tolist()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
@@ -187,25 +253,29 @@ def _codec(vocabulary: bytes, pattern: str) -> Codec:
     return Codec(ranks, pattern)
 
 
-def _apply(df: DataFrame, column: str, keep: list[str], made: dict[str, tuple[T.DataType, pa.DataType]], convert: Callable) -> DataFrame:
-    """The columns ``keep`` of ``df`` and what ``convert()`` makes of each value of ``column``, one Python pass for all."""
+def _apply(df: DataFrame, column: str, keep: list[str], made: dict[str, T.DataType], convert: Callable) -> DataFrame:
+    """The columns ``keep`` of ``df`` and what ``convert()`` makes of the values of ``column``, one Python pass for all."""
 
     def run(batches):
         work = convert()
         for batch in in_slices(batches):
-            values = zip(*[work(x) for x in batch.column(1).to_pylist()]) if batch.num_rows else [[] for _ in made]
-            arrays = [pa.array(list(v), type=kind) for v, (_, kind) in zip(values, made.values())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["row", *[f"made_{k}" for k in range(len(made))]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *work(batch.column(1))], names=["row", *[f"made_{k}" for k in range(len(made))]])
 
     given = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{column}`").alias("given"))
-    fields = [T.StructField(f"made_{k}", kind) for k, (kind, _) in enumerate(made.values())]
+    fields = [T.StructField(f"made_{k}", kind) for k, kind in enumerate(made.values())]
     out = given.mapInArrow(run, T.StructType([given.schema["row"], *fields]))
     return out.select("row.*", *[F.col(f"made_{k}").alias(name) for k, name in enumerate(made)])
 
 
-_IDS = (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))
-_BYTES = (T.BinaryType(), pa.binary())
-_FLAG = (T.BooleanType(), pa.bool_())
+def _ids_array(packed: list[bytes]) -> pa.Array:
+    """Lists of 32-bit integers from their bytes."""
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a slice of rows has more than 2^31 tokens")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+_IDS, _BYTES, _FLAG = T.ArrayType(T.IntegerType()), T.BinaryType(), T.BooleanType()
 
 
 def encode(
@@ -231,12 +301,15 @@ def encode(
     def convert():
         codec = _codec(data, pattern)
 
-        def work(text):
-            ids = codec.encode(text)
-            if len(made) == 1:
-                return (ids,)
-            back = codec.decode(ids)
-            return (ids, *([back] if decoded else []), *([back == (text or "").encode("utf-8")] if checked else []))
+        def work(given):
+            texts = given.to_pylist()
+            packed = codec.packed(texts)
+            arrays = [_ids_array(packed)]
+            if len(made) > 1:
+                back = [codec.decode(array("i", ids)) for ids in packed]
+                arrays += [pa.array(back, pa.binary())] if decoded else []
+                arrays += [pa.array([b == (t or "").encode("utf-8") for b, t in zip(back, texts)], pa.bool_())] if checked else []
+            return arrays
 
         return work
 
@@ -249,6 +322,6 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", out: str = "dec
 
     def convert():
         codec = _codec(data, "")
-        return lambda ids: (codec.decode(ids or ()),)
+        return lambda given: [pa.array([codec.decode(ids or ()) for ids in given.to_pylist()], pa.binary())]
 
     return _apply(df, ids_col, [c for c in df.columns if c != out], {out: _BYTES}, convert)
