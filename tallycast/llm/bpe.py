@@ -78,7 +78,9 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pieces = {i: b for b, i in ranks.items()}
+        self.pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            self.pieces[rank] = piece
         self.queue = RankQueue(max(ranks.values()) + 1)
         # white space as Unicode has it, which is what \s means to the library these ids must agree with
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}"))
@@ -185,14 +187,16 @@ class Codec:
             out.append(ids.tobytes())
         return out
 
-    def _learn(self, chunks: list[list[str]]) -> None:
-        """Puts every match of ``chunks`` into the memory."""
+    def _learn(self, chunks: list[list[str]]) -> list[str]:
+        """Puts every match of ``chunks`` into the memory; returns those that are too long to stay there."""
         if len(self.memo) > REMEMBERED:
             # what has not been met since the last change of generations is forgotten
             self.older, self.memo = self.memo, {}
         memo, older, whole = self.memo, self.older, self.ranks.get
-        unmet, size = [], 0
+        unmet, size, long = [], 0, []
         for piece in set(chain.from_iterable(chunks)).difference(memo):
+            if len(piece) > REMEMBERED_CHARS:
+                long.append(piece)
             if (ids := older.get(piece)) is not None:
                 memo[piece] = ids
             elif (rank := whole(piece.encode("utf-8"))) is not None:
@@ -204,6 +208,7 @@ class Codec:
                     memo.update(zip(unmet, self.merge([p.encode("utf-8") for p in unmet])))
                     unmet, size = [], 0
         memo.update(zip(unmet, self.merge([p.encode("utf-8") for p in unmet])))
+        return long
 
     def packed(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as 32-bit integers."""
@@ -212,12 +217,11 @@ class Codec:
         matches = 0
 
         def flush():
-            chunks = [chunk for _, chunk in held]
-            self._learn(chunks)
+            long = self._learn([chunk for _, chunk in held])
             ids = self.memo.__getitem__
             for k, chunk in held:
                 out[k].append(b"".join(map(ids, chunk)))
-            for piece in {p for chunk in chunks for p in chunk if len(p) > REMEMBERED_CHARS}:
+            for piece in long:
                 del self.memo[piece]
             held.clear()
 
