@@ -6,9 +6,11 @@ coordinate i - T. So each coordinate is filled after 2T rounds at the latest, mo
 the share of equal coordinates of two sets is concentrated around their similarity as if coordinates were independent.
 
 Sets that agree in a whole band of coordinates are candidates. Every link is confirmed on the full sets. Equal sets
-are one node from the start. Within a band's bucket nobody emits all pairs: first each node is compared with one
-other, then only the buckets that still hold several components are compared inside, in tiles of bounded size, and
-each tile returns no more links than it has nodes.
+are one node from the start. Within a band's bucket nobody emits all pairs. Each node is first compared with the middle
+of its group, the node whose buckets are fullest. Where a bucket still holds several components, nodes outside its main
+one are compared with one node of that for each bucket they share. Only what is left meets in tiles of bounded size:
+nodes outside the main component with each other and with that one, never two nodes of one component. A tile returns no
+more links than it has nodes.
 """
 
 from __future__ import annotations
@@ -153,14 +155,26 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of a tile, by products of the incidence matrix in strips."""
+def _shingle_sets(width: int):
+    def run(batches):
+        words = _Words()
+        for batch in in_slices(batches):
+            sets = [shingle_set(t, words, width).tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["node", "n_shingles", "shingles"])
+
+    return run
+
+
+def _overlaps(sets: list[np.ndarray], askers: int | None = None) -> np.ndarray:
+    """Sizes of the intersections of the first ``askers`` sets (all unless given) with each set, by products of the
+    incidence matrix in strips."""
+    askers = len(sets) if askers is None else askers
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count[column] > 1  # what only one set has is in no intersection
     owner, column = owner[shared], column[shared]
     _, column = np.unique(column, return_inverse=True)
-    total = np.zeros((len(sets), len(sets)), np.float32)
+    total = np.zeros((askers, len(sets)))
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     strip = 4096
@@ -168,33 +182,109 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
         a, b = np.searchsorted(column, [first, first + strip])
         part = np.zeros((len(sets), strip), np.float32)
         part[owner[a:b], column[a:b] - first] = 1
-        total += part @ part.T
+        total += part[:askers] @ part.T
     return total.astype(np.int64)
 
 
-def _verify(width: int, percent: int, star: bool):
-    """Links of one tile: (a, b). A star compares the hub with all others, else all meet."""
+def _star(percent: int):
+    """Links of one hub's tile: (a, b)."""
 
     def run(tile: pd.DataFrame) -> pd.DataFrame:
-        words = _Words()
-        tile = tile.drop_duplicates("node")
-        nodes = tile["node"].to_numpy()
-        sets = [shingle_set(t, words, width) for t in tile["text"]]
+        sets = [np.frombuffer(s, np.uint64) for s in tile["shingles"]]
+        hub = int(np.flatnonzero(tile["is_hub"].to_numpy())[0])
+        nodes, pairs = tile["node"].to_numpy(), []
+        for k, other in enumerate(sets):
+            if k != hub and 100 * min(len(other), len(sets[hub])) >= percent * max(len(other), len(sets[hub])):
+                both = len(np.intersect1d(sets[hub], other, assume_unique=True))
+                if 100 * both >= percent * (len(sets[hub]) + len(other) - both):
+                    pairs.append((nodes[hub], nodes[k]))
+        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _meeting(percent: int):
+    """Links that join components in one tile: those who ask with those who answer, or with each other where none does."""
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values(["answers", "node"], kind="stable")
+        nodes, parts, answers = tile["node"].to_numpy(), tile["component"].to_numpy(), tile["answers"].to_numpy()
+        sets = [np.frombuffer(s, np.uint64) for s in tile["shingles"]]
+        askers = int((~answers).sum())
+        if not askers:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         sizes = np.array([len(s) for s in sets])
-        if star:
-            hub = int(np.flatnonzero(tile["is_hub"].to_numpy())[0])
-            other = [k for k in range(len(sets)) if k != hub]
-            both = np.array([len(np.intersect1d(sets[hub], sets[k], assume_unique=True)) for k in other], np.int64)
-            hit = 100 * both >= percent * (sizes[hub] + sizes[other] - both)
-            pairs = [(hub, k) for k, h in zip(other, hit) if h]
-        else:
-            both = _overlaps(sets)
-            pairs = _forest(100 * both >= percent * (sizes[:, None] + sizes[None, :] - both))
+        both = _overlaps(sets, askers)
+        hit = 100 * both >= percent * (sizes[:askers, None] + sizes[None, :] - both)
+        hit &= parts[:askers, None] != parts[None, :]
+        linked = np.zeros((len(sets), len(sets)), bool)
+        linked[:askers] = hit
+        linked[:, :askers] |= hit.T
+        pairs = _forest(linked)
         return pd.DataFrame({"a": [nodes[i] for i, _ in pairs], "b": [nodes[j] for _, j in pairs]}, dtype="int64")
 
     return run
 
 
+def _tiles(where: str | None = None):
+    """Tiles that hold the rows of a group (those that meet ``where``), bounded in nodes and in shingles."""
+    one, size = F.lit(1), F.col("n_shingles")
+    if where:
+        one, size = F.when(F.expr(where), one), F.when(F.expr(where), size)
+    return F.ceil(F.greatest(F.count(one) / TILE_NODES, F.coalesce(F.sum(size), F.lit(0)) / TILE_SHINGLES)).cast("int")
+
+
+def _star_links(asked: DataFrame, sets: DataFrame, percent: int, purpose: str) -> DataFrame:
+    """Links found when every ``node`` of ``asked`` is compared with its ``hub``."""
+    per_hub = cut_lineage(asked.groupBy("hub").agg(_tiles().alias("tiles")), f"{purpose}-hubs")
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    spokes = asked.join(per_hub, "hub").select("hub", tile.alias("tile"), "node", F.lit(False).alias("is_hub"))
+    hubs = per_hub.select("hub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.col("hub").alias("node"), F.lit(True).alias("is_hub"))
+    stars = spokes.unionByName(hubs).join(sets, "node")
+    return cut_lineage(stars.groupBy("hub", "tile").applyInPandas(_star(percent), "a long, b long"), f"{purpose}-links")
+
+
+def _open_buckets(members: DataFrame, joined: DataFrame, asked: DataFrame, purpose: str) -> DataFrame:
+    """Rows of the buckets that hold several components, with ``main``, the component with most nodes there.
+
+    Of buckets with the same nodes one is returned, and none of two nodes that have been compared.
+    """
+    labelled = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    node = F.col("node")
+    parts = labelled.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.min(node).alias("a"), F.max(node).alias("b"),
+        F.bit_xor(F.xxhash64(node)).alias("x"), F.bit_xor(F.xxhash64(F.lit(2), node)).alias("y"),
+    )
+    spread = parts.groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"),
+        F.min("a").alias("a"), F.max("b").alias("b"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"),
+    ).filter("parts > 1")
+    pairs = asked.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"), F.lit(2).cast("long").alias("n"))
+    once = spread.groupBy("a", "b", "n", "x", "y").agg(F.min(F.struct("key", "main.component")).alias("least"))
+    once = once.join(pairs, ["a", "b", "n"], "left_anti").select("least.key", F.col("least.component").alias("main"))
+    return cut_lineage(labelled.join(cut_lineage(once, f"{purpose}-keys"), "key"), f"{purpose}-rows")
+
+
+def _exhausted(inside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of open buckets: nodes outside the main component of a bucket meet each other and all nodes of that one."""
+    minor = "component <> main"
+    tiles = inside.groupBy("key").agg(_tiles(minor).alias("asking"), _tiles("component = main").alias("answering"))
+    placed = inside.join(cut_lineage(tiles, "near-tiles"), "key").withColumn("minor", F.expr(minor))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("minor"), F.col("asking")).otherwise(F.col("answering"))).cast("int"))
+    upto = lambda end: F.sequence(F.lit(0), end)
+    place = lambda i, j, inner, answers: F.struct(i.alias("i"), j.alias("j"), F.lit(inner).alias("inner"), answers.alias("answers"))
+    own, none, yes = F.col("own"), F.lit(False), F.lit(True)
+    asks = F.concat(
+        F.transform(upto(F.col("answering") - 1), lambda j: place(own, j, False, none)),
+        F.transform(F.sequence(own, F.col("asking") - 1), lambda j: place(own, j, True, none)),
+        F.filter(F.transform(upto(own), lambda i: place(i, own, True, yes)), lambda p: p["i"] < p["j"]),
+    )
+    answers = F.transform(upto(F.col("asking") - 1), lambda i: place(i, own, False, yes))
+    placed = placed.select("key", "node", "component", F.explode(F.when(F.col("minor"), asks).otherwise(answers)).alias("at"))
+    met = placed.select("key", "node", "component", "at.*").join(sets, "node").groupBy("key", "i", "j", "inner")
+    return cut_lineage(met.applyInPandas(_meeting(percent), "a long, b long"), "near-met")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per document: ``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -227,48 +317,40 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int = 5, percent
     nodes = sketched.filter("n_shingles > 0").groupBy("set_key").agg(first, F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
     nodes = cut_lineage(nodes.select("set_key", F.col("first.row_id").alias("node"), "first.doc_id", "first.text_hash", "first.n_shingles", "first.bands", "least_id", "copies"), "near-nodes")
 
-    keyed = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = cut_lineage(buckets, "near-buckets")
-    members = cut_lineage(keyed.join(buckets, "key"), "near-members")
+    keyed = nodes.select("node", "n_shingles", F.explode("bands").alias("key"))
+    sizes = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-buckets")
+    members = cut_lineage(keyed.join(sizes, "key"), "near-placed")
+    # a node that agrees with many is near the middle of its group
+    scores = cut_lineage(members.groupBy("node").agg(F.sum("n").alias("score")), "near-scores")
+    members = cut_lineage(members.join(scores, "node").select("key", "node", "n_shingles", "score"), "near-members")
 
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = nodes.join(scores.select("node"), "node", "left_semi")
     wanted = wanted.select("node", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash"), "n_shingles")
     same = (F.col("text_hash") == F.col("want_hash")) & F.col("doc_id").eqNullSafe(F.col("want_id"))
-    # by key at every size, as a large corpus needs it
+    # by key at every size, as a large corpus needs it; of rows that repeat id and text one is kept
     found = texts.select("doc_id", "text_hash", F.col("text").cast("binary").alias("text")).join(wanted.hint("merge"), same)
-    found = cut_lineage(found.select("node", "n_shingles", "text"), "near-texts")
-
-    # each node with one other
-    chosen = members.filter("node <> hub").groupBy("node").agg(F.min("hub").alias("hub"))
-    chosen = cut_lineage(chosen, "near-chosen")
-    per_hub = chosen.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TILE_NODES).cast("int").alias("tiles"))
-    per_hub = cut_lineage(per_hub, "near-hubs")
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    spokes = chosen.join(per_hub, "hub").select("hub", tile.alias("tile"), "node", F.lit(False).alias("is_hub"))
-    hubs = per_hub.select("hub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.col("hub").alias("node"), F.lit(True).alias("is_hub"))
-    stars = spokes.unionByName(hubs).join(found, "node")
-    linked = stars.groupBy("hub", "tile").applyInPandas(_verify(width, percent, True), "a long, b long")
-    linked = cut_lineage(linked, "near-links")
+    found = found.groupBy("node", "n_shingles").agg(F.first("text").alias("text"))
+    sets = cut_lineage(found.mapInArrow(_shingle_sets(width), "node long, n_shingles long, shingles binary"), "near-sets").select("node", "shingles")
+
+    # each node with the middle one of a bucket, the one that most of its buckets have in common
+    hubs = cut_lineage(members.groupBy("key").agg(F.max(F.struct("score", "node")).alias("hub")), "near-middles")
+    meant = members.join(hubs, "key").filter("node <> hub.node").groupBy("node", "n_shingles", "hub").agg(F.count(F.lit(1)).alias("shared"))
+    chosen = meant.groupBy("node", "n_shingles").agg(F.max(F.struct("shared", "hub")).alias("best"))
+    asked = cut_lineage(chosen.select(F.col("best.hub.node").alias("hub"), "node", "n_shingles"), "near-asked")
+    linked = _star_links(asked, sets, percent, "near-first")
     joined = cut_lineage(components(linked), "near-joined")
 
-    # buckets that still hold several components; equal ones once, and pairs just compared not again
-    labelled = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"),
-        F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(2), "node")).alias("y"),
-    ).filter("low < high")
-    pairs = chosen.select(F.col("hub").alias("a"), F.col("node").alias("b"), F.lit(2).cast("long").alias("n"))
-    spread = spread.groupBy("a", "b", "n", "x", "y").agg(F.min("key").alias("key")).join(pairs, ["a", "b", "n"], "left_anti")
-    spread = cut_lineage(spread.select("key"), "near-open")
-    inside = cut_lineage(members.select("key", "node").join(spread, "key").join(found.select("node", "n_shingles").distinct(), "node"), "near-inside")
-    size = F.greatest(F.count(F.lit(1)) / TILE_NODES, F.sum("n_shingles") / TILE_SHINGLES)
-    tiles = cut_lineage(inside.groupBy("key").agg(F.ceil(size).cast("int").alias("tiles")), "near-tiles")
-    placed = inside.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
-    placed = placed.select("key", "node", "tile", other).select("key", "node", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
-    met = placed.join(found.select("node", "text"), "node").groupBy("key", "i", "j").applyInPandas(_verify(width, percent, False), "a long, b long")
-    linked = cut_lineage(linked.unionByName(cut_lineage(met, "near-met")), "near-all-links")
+    # who is still outside a bucket's main component, with one node of it for each bucket
+    inside = _open_buckets(members, joined, asked, "near-open")
+    pick = F.min(F.struct(F.xxhash64("key", "node"), "node")).alias("pick")
+    picks = cut_lineage(inside.filter("component = main").groupBy("key").agg(pick), "near-picks")
+    again = inside.filter("component <> main").join(picks, "key").select(F.col("pick.node").alias("hub"), "node", "n_shingles").distinct()
+    again = cut_lineage(again.join(asked, ["hub", "node"], "left_anti"), "near-asked-again")
+    linked = linked.unionByName(_star_links(again, sets, percent, "near-second"))
+    joined = cut_lineage(components(linked), "near-joined-again")
+
+    inside = _open_buckets(members, joined, asked.unionByName(again), "near-left")
+    linked = linked.unionByName(_exhausted(inside, sets, percent))
     joined = cut_lineage(components(linked), "near-components")
 
     # ids back to the documents, for sets with copies or links
