@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 
 sys.path.insert(0, str(Path(__file__).parent))
 
@@ -128,3 +129,18 @@ def test_early_stop_loses_no_pair():
         i, j = embeddings.reaching_pairs(x, x, p, p, least, True)
         want = np.argwhere(np.triu(unit @ unit.T >= least, 1))
         assert sorted(zip(i, j)) == [tuple(w) for w in want]
+
+
+def test_tiles_join_components_only():
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(80)]
+    sets = [minhash.shingle_set(" ".join(r.choice([w] * 30 + ["z"]) for w in base).encode(), minhash._Words(), 2) for _ in range(60)]
+    linked = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))
+    for answering in (0, 40):
+        parts = [k if k >= answering else 0 for k in range(60)]
+        tile = pd.DataFrame({"node": range(60), "component": parts, "answers": [k < answering for k in range(60)], "shingles": [s.tobytes() for s in sets]})
+        got = list(minhash._meeting(85)(tile).itertuples(index=False, name=None))
+        assert all(linked(a, b) and parts[a] != parts[b] for a, b in got)
+        want = [(a, b) for a in range(answering, 60) for b in range(60) if parts[a] != parts[b] and linked(a, b)]
+        assert want and h.classes(60, got) == h.classes(60, want) and len(got) < 60
+    assert minhash._meeting(85)(tile[tile["answers"]]).empty
