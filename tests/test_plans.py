@@ -44,3 +44,8 @@ def checked(spark, name, run: bool = False) -> None:
 @pytest.mark.parametrize("name", ["missing_partitions", "incomplete_dates"])
 def test_stored_partitions_are_distinct_first(spark, name):
     checked(spark, name)
+
+
+@pytest.mark.parametrize("name", ["states_hourly", "fluxes_hourly", "shortwave_downscale", "stage2", "stage3_backfill"])
+def test_weather_values_are_not_broadcast(spark, name):
+    checked(spark, name)
