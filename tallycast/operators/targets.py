@@ -420,7 +420,8 @@ def resolve_taxonomy(sorting: DataFrame, para: DataFrame, expert: DataFrame) ->
     states = ["nativeStatusCode", "sampleCondition"]
     s = sorting.withColumnsRenamed({c: f"s_{c}" for c in names + states})
     p = para.withColumnsRenamed({c: f"p_{c}" for c in names})
-    joined = s.join(p, "subsampleID", "left").join(expert, "individualID", "left")
+    # experts' rows go to individuals first: most sorted rows have none, and would meet in one task by that empty key
+    joined = s.join(p.join(expert, "individualID", "left"), "subsampleID", "left")
     mixed = F.col("sampleType") == "other carabid"
     best = {n: F.coalesce(F.col(n), F.when(mixed, F.col(f"p_{n}")), F.col(f"s_{n}")) for n in names}
     best |= {n: F.coalesce(F.col(n), F.col(f"s_{n}")) for n in states}

@@ -28,6 +28,29 @@ def test_quality_check_in_both_modes(spark):
     assert got == [10.0, 11.0, None, None, None, 18.0, 19.0, None]
 
 
+def test_experts_meet_individuals_before_sorted_rows_do(spark):
+    names = "taxonRank string, scientificName string, taxonID string, morphospeciesID string"
+    states = "nativeStatusCode string, sampleCondition string"
+    sorting = spark.createDataFrame(
+        [(k, "carabid", "species", f"Genus{k} sp", "T", None, "N", None) for k in ("a", "b", "c", "d")],
+        f"subsampleID string, sampleType string, {names}, {states}",
+    )
+    para = spark.createDataFrame(
+        [("a", "i1", None, None, None, None), ("b", "i2", None, None, None, None)],
+        f"subsampleID string, individualID string, {names}",
+    )
+    expert = spark.createDataFrame(
+        [("i1", "species", "Expertus verus", "E", None, "Carabidae", None, None), ("i2", None, None, None, None, "Silphidae", None, None)],
+        f"individualID string, {names}, family string, {states}",
+    )
+    best = ops.resolve_taxonomy(sorting, para, expert)
+    got = sorted((r["subsampleID"], r["individualID"], r["scientificName"]) for r in best.collect())
+    assert got == [("a", "i1", "Expertus verus"), ("c", None, "Genusc sp"), ("d", None, "Genusd sp")]
+    # the join that all sorted rows go through is by their own key, which none lacks
+    joins = [line for line in best._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join LeftOuter" in line]
+    assert len(joins) == 2 and "subsampleID" in joins[0] and "individualID" in joins[1]
+
+
 def test_upsert_new_wins_and_repeats_nothing(spark):
     old, new = observations(spark, [1.0, 2.0]), observations(spark, [9.12345678])
     once = ops.target_upsert(old, new)
