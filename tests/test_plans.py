@@ -5,9 +5,10 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallycast.operators import baselines
-from tallycast.plans import catalogue
+from tallycast.plans import catalogue, inputs
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -72,6 +73,23 @@ def test_draws_are_neither_shuffled_nor_broadcast(spark, name):
     assert sum("Exchange " in line for line in above) <= 1
 
 
+def test_seed_rows_are_dealt_out_by_the_size_of_their_tables(spark, tmp_path):
+    if not FOLDER.exists():
+        pytest.skip("test tables are not here")
+    events = spark.read.parquet(f"{FOLDER}/events.parquet")
+    row = events.limit(1).drop("props")
+    # incompressible, so that its size in the store is known to grow with its rows
+    filler = spark.range(12_000).select(F.concat(*[F.sha2((F.col("id") * 16 + i).cast("string"), 512) for i in range(16)]).alias("props"))
+    rows = row.crossJoin(filler).select(*events.columns)
+    dealt = []
+    for n in (1, 12_000):
+        rows.limit(n).coalesce(1).write.parquet(f"{tmp_path}/{n}/events.parquet")
+        plan = inputs.Inputs(spark, f"{tmp_path}/{n}").forecasts._jdf.queryExecution().executedPlan().toString()
+        dealt.append(int(re.search(r"RoundRobinPartitioning\((\d+)\)", plan).group(1)))
+    size = sum(f.stat().st_size for f in (tmp_path / "12000" / "events.parquet").iterdir())
+    assert dealt[0] == inputs.SPREAD < dealt[1] and abs(dealt[1] - size // inputs.SPREAD_BYTES) <= 1
+
+
 def _series(spark, n, step):
     start = dt.datetime(2024, 1, 1)
     rows = [("demo", "S1", start + step * i, "P1D", "v", float((i * 37) % 101)) for i in range(n)]
