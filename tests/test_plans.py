@@ -54,6 +54,11 @@ def test_weather_values_are_not_broadcast(spark, name):
     checked(spark, name)
 
 
+@pytest.mark.parametrize("name", ["score_candidates", "stale_scores"])
+def test_forecasts_and_scores_are_not_broadcast(spark, name):
+    checked(spark, name)
+
+
 def test_new_scores_are_not_broadcast(spark):
     checked(spark, "score_upsert")
 
