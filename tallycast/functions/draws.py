@@ -23,16 +23,34 @@ TAIL_BOTTOM = [0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.75
 TAIL = 0.02425
 
 
-def whole(seed: int, *keys: Column | str) -> Column:
-    """A whole number from 0 to 2 ** 52 - 1."""
+def key(seed: int, *keys: Column | str) -> Column:
+    """What the draws of ``keys`` have in common, as text: worked out once where many draws follow."""
     columns = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *columns).cast("binary"))
+    return F.concat_ws("|", F.lit(str(seed)), *columns)
+
+
+def _read(text: Column) -> Column:
+    digest = F.md5(text.cast("binary"))
     return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("long")
 
 
+def _between(number: Column) -> Column:
+    return (number.cast("double") + F.lit(0.5)) / F.lit(STEPS)
+
+
+def whole(seed: int, *keys: Column | str) -> Column:
+    """A whole number from 0 to 2 ** 52 - 1."""
+    return _read(key(seed, *keys))
+
+
 def uniform(seed: int, *keys: Column | str) -> Column:
     """A number in (0, 1)."""
-    return (whole(seed, *keys).cast("double") + F.lit(0.5)) / F.lit(STEPS)
+    return _between(whole(seed, *keys))
+
+
+def uniform_of(known: Column, counter: Column) -> Column:
+    """:func:`uniform` of the keys in ``known`` (from :func:`key`) and a last one, which is not NULL."""
+    return _between(_read(F.concat(known, F.lit("|"), counter.cast("string"))))
 
 
 def index(seed: int, size: Column, *keys: Column | str) -> Column:
@@ -40,6 +58,11 @@ def index(seed: int, size: Column, *keys: Column | str) -> Column:
     return (F.floor(uniform(seed, *keys) * size) + 1).cast("long")
 
 
+def index_of(known: Column, size: Column, counter: Column) -> Column:
+    """:func:`index` of the keys in ``known`` and a last one."""
+    return (F.floor(uniform_of(known, counter) * size) + 1).cast("long")
+
+
 def _ratio(top: list[float], bottom: list[float], x: Column) -> Column:
     def horner(coefficients: list[float]) -> Column:
         total = F.lit(coefficients[0])
@@ -69,3 +92,8 @@ def inverse_normal(p: Column) -> Column:
 def normal(seed: int, *keys: Column | str) -> Column:
     """A standard normal number."""
     return inverse_normal(uniform(seed, *keys))
+
+
+def normal_of(known: Column, counter: Column) -> Column:
+    """:func:`normal` of the keys in ``known`` and a last one."""
+    return inverse_normal(uniform_of(known, counter))

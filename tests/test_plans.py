@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tallycast.functions import draws
 from tallycast.operators import baselines
 from tallycast.plans import catalogue, inputs
 
@@ -110,3 +111,15 @@ def test_chunks_do_not_change_the_draws(spark):
     half = _series(spark, 900, dt.timedelta(minutes=30))
     rows = [baselines.diurnal_resample(half, "2024-01-20", 3, 2, chunk_bits=b).orderBy(*by).collect() for b in (3, 16)]
     assert len(rows[0]) == (2 * 48 + 1) * 3 and rows[0] == rows[1]
+
+
+def test_keys_written_out_once_give_the_same_draws(spark):
+    rows = spark.createDataFrame([("S1", None, 7, i) for i in range(1, 60)], "site string, variable string, path int, step int")
+    known, size = draws.key(3, "site", "variable", "path"), F.lit(1000)
+    pairs = rows.select(
+        draws.index(3, size, "site", "variable", "path", "step").alias("a"),
+        draws.index_of(known, size, F.col("step")).alias("b"),
+        draws.normal(3, "site", "variable", "path", "step").alias("c"),
+        draws.normal_of(known, F.col("step")).alias("d"),
+    ).collect()
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in pairs) and len({r["a"] for r in pairs}) > 40
