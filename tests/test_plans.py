@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallycast.functions import draws
 from tallycast.operators import baselines
 from tallycast.plans import catalogue, inputs
+from tallycast.schema import SCORE_GROUP
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -96,6 +97,33 @@ def test_seed_rows_are_dealt_out_by_the_size_of_their_tables(spark, tmp_path):
     assert dealt[0] == inputs.SPREAD < dealt[1] and abs(dealt[1] - size // inputs.SPREAD_BYTES) <= 1
 
 
+def shuffled_once_multiplied(df) -> list[str]:
+    """Shuffles between the result and the last step that multiplies rows, on the plan's first branch."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    above = plan[: next(i for i, line in enumerate(plan) if "Generate " in line)]
+    return [line.strip() for line in above if "Exchange " in line]
+
+
+@pytest.mark.parametrize("name", ["dedupe_mean", "bundle_forecasts", "score_union"])
+def test_rows_made_of_a_target_are_not_shuffled(spark, name):
+    if not FOLDER.exists():
+        pytest.skip("test tables are not here")
+    assert not shuffled_once_multiplied(catalogue.QUERIES[name](spark, str(FOLDER)))
+
+
+def test_members_meet_their_observation_where_they_are_made(spark):
+    """Joined and grouped by the target's key: neither the join nor the aggregate after it shuffles members."""
+    if not FOLDER.exists():
+        pytest.skip("test tables are not here")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = inputs.Inputs(spark, str(FOLDER)).joined
+        assert not shuffled_once_multiplied(joined.groupBy(*SCORE_GROUP, "observation").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def _series(spark, n, step):
     start = dt.datetime(2024, 1, 1)
     rows = [("demo", "S1", start + step * i, "P1D", "v", float((i * 37) % 101)) for i in range(n)]
