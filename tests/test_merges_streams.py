@@ -69,6 +69,22 @@ def test_a_merge_that_broke_off_while_staging_changed_nothing(spark, tmp_path, m
     assert content(spark, folder, first.schema) == [(1, "a", 1), (2, "a", 1)]
 
 
+def test_stored_rows_are_not_shuffled_to_find_touched_partitions(spark, tmp_path):
+    folder = str(tmp_path / "set")
+    first = parts(spark, [(k, str(k % 3), k % 2) for k in range(12)] + [(12, None, 1)])
+    tables.write_partitioned(first, folder, ["p", "q"])
+    seen = []
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        look = lambda new, old: seen.append(old._jdf.queryExecution().executedPlan().toString()) or added(new, old)
+        tables.merge_partitions(parts(spark, [(20, "1", 1), (21, None, 1), (22, "9", 0)]), folder, ["p", "q"], look)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "LeftSemi" in seen[0] and "Exchange hashpartitioning" not in seen[0] and "SortMergeJoin" not in seen[0]
+    assert set(content(spark, folder, first.schema)) == {*map(tuple, first.collect()), (20, "1", 1), (21, None, 1), (22, "9", 0)}
+
+
 def test_partitions_beyond_the_names_are_merged_too(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "PRUNED_BY_NAME", 1)
     folder = str(tmp_path / "set")
