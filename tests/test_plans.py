@@ -111,6 +111,16 @@ def test_rows_made_of_a_target_are_not_shuffled(spark, name):
     assert not shuffled_once_multiplied(catalogue.QUERIES[name](spark, str(FOLDER)))
 
 
+def test_members_are_not_broadcast_to_their_observations(spark):
+    if not FOLDER.exists():
+        pytest.skip("test tables are not here")
+    joined = inputs.Inputs(spark, str(FOLDER)).joined
+    for run in (False, True):
+        if run:
+            joined.write.format("noop").mode("overwrite").save()
+        assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_members_meet_their_observation_where_they_are_made(spark):
     """Joined and grouped by the target's key: neither the join nor the aggregate after it shuffles members."""
     if not FOLDER.exists():
