@@ -161,3 +161,22 @@ def test_keys_written_out_once_give_the_same_draws(spark):
         draws.normal_of(known, F.col("step")).alias("d"),
     ).collect()
     assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in pairs) and len({r["a"] for r in pairs}) > 40
+
+
+def dealt_out(spark, name) -> str:
+    """The plan of a query in a session of three shuffle partitions."""
+    if not FOLDER.exists():
+        pytest.skip("test tables are not here")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        return catalogue.QUERIES[name](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_pairs_are_counted_in_as_many_tasks_as_the_input_asks_for(spark):
+    plan = dealt_out(spark, "submission_counts")
+    # neither pairs nor submissions are shuffled by the session's few partitions
+    assert re.search(rf"hashpartitioning\(site_id#\d+, variable#\d+, model_id#\d+, {inputs.SPREAD}\)", plan)
+    assert not re.search(r"hashpartitioning\([^()]*reference_datetime", plan)
