@@ -269,6 +269,11 @@ _MONTH = f"""SELECT h.*, {_HALF} AS tod FROM halfhourly h JOIN (SELECT site_id,
   WHERE h.observation IS NOT NULL AND extract(month FROM h.datetime) = extract(month FROM date_trunc('day', m.l) + INTERVAL 1 DAY)"""
 
 
+def _halfhourly(inp):
+    # dealt out by site, by which everything below groups: its tasks follow the size of the input
+    return inp.halfhourly.repartition(inp.tasks("halfhourly"), "site_id")
+
+
 @query(
     "diurnal_cycle",
     "halfhourly",
@@ -276,7 +281,7 @@ _MONTH = f"""SELECT h.*, {_HALF} AS tod FROM halfhourly h JOIN (SELECT site_id,
     "mean",
 )
 def _(inp):
-    return ops.diurnal_cycle(inp.halfhourly)
+    return ops.diurnal_cycle(_halfhourly(inp))
 
 
 _WINDOWS = f"""h AS ({_MONTH}), s AS (SELECT site_id, variable, count(*) AS total, unnest(range(0, 48)) / 2.0::DOUBLE AS slot FROM h
@@ -294,7 +299,7 @@ _WINDOWS = f"""h AS ({_MONTH}), s AS (SELECT site_id, variable, count(*) AS tota
     f"WITH {_WINDOWS} SELECT site_id, variable, slot, win AS window, n AS size FROM m",
 )
 def _(inp):
-    rows = ops.diurnal_windows(inp.halfhourly)
+    rows = ops.diurnal_windows(_halfhourly(inp))
     return rows.select("site_id", "variable", "slot", "window", F.col("_size").alias("size"))
 
 
@@ -313,7 +318,7 @@ def _(inp):
     "total low high",
 )
 def _(inp):
-    draws = ops.diurnal_resample(inp.halfhourly, _FORECAST_DAY)
+    draws = ops.diurnal_resample(_halfhourly(inp), _FORECAST_DAY)
     return _summary(draws, ["site_id", "variable", F.to_date("datetime").alias("date")])
 
 

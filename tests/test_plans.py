@@ -180,3 +180,10 @@ def test_pairs_are_counted_in_as_many_tasks_as_the_input_asks_for(spark):
     # neither pairs nor submissions are shuffled by the session's few partitions
     assert re.search(rf"hashpartitioning\(site_id#\d+, variable#\d+, model_id#\d+, {inputs.SPREAD}\)", plan)
     assert not re.search(r"hashpartitioning\([^()]*reference_datetime", plan)
+
+
+def test_windows_of_a_series_are_found_in_its_row(spark):
+    plan = dealt_out(spark, "diurnal_windows")
+    above = plan[: plan.index("Generate ")]
+    assert "Window " not in above and "Join" not in above and "Exchange " not in above
+    assert re.search(rf"hashpartitioning\(site_id#\d+, {inputs.SPREAD}\)", plan)
