@@ -169,3 +169,26 @@ def test_forecasts_and_observations_wait_for_each_other(spark, tmp_path):
     deliver(f=forecast(40), o=[observed(40, 1.0)])
     deliver(f=forecast(41), o=[observed(41, 1.0)])
     assert held[-1] <= 8 < held[2]
+
+
+def test_packed_forecasts_are_held_as_one_row_and_score_alike(spark, tmp_path):
+    found, held = [], []
+    for pack in (False, True):
+        top = tmp_path / str(pack)
+        for kind in "fo":
+            (top / kind).mkdir(parents=True)
+        shape = jobs.packed_members if pack else lambda df: df
+        given = lambda rows: shape(spark.createDataFrame(rows, FORECASTS))
+        forecasts = spark.readStream.schema(given(forecast(0)).schema).parquet(str(top / "f"))
+        observations = spark.readStream.schema(TARGETS).parquet(str(top / "o"))
+        deliveries = [(forecast(0) + forecast(1), [observed(0, 2.0)]), (forecast(0, model="late", shift=1.0), [observed(1, 5.0), observed(0, 3.0)])]
+        for f, o in deliveries:
+            given(f).write.mode("append").parquet(str(top / "f"))
+            spark.createDataFrame(o, TARGETS).write.mode("append").parquet(str(top / "o"))
+            query = jobs.run_scoring(forecasts, observations, str(top / "log"), str(top / "position"), "10 days")
+        held.append([p for p in query.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]["numRowsTotal"])
+        scores = jobs.current_scores(spark.read.parquet(str(top / "log")))
+        found.append(sorted((r["model_id"], r["datetime"], r["observation"], r["crps"], r["mean"]) for r in scores.collect()))
+    assert len(found[0]) == 3 and found[0] == found[1]
+    # three forecasts and three observations, against nine members
+    assert held == [12, 6]
