@@ -192,3 +192,73 @@ def test_packed_forecasts_are_held_as_one_row_and_score_alike(spark, tmp_path):
     assert len(found[0]) == 3 and found[0] == found[1]
     # three forecasts and three observations, against nine members
     assert held == [12, 6]
+
+
+@pytest.mark.parametrize("pack", [False, True])
+def test_what_comes_after_the_delay_is_scored_too(spark, tmp_path, pack):
+    for kind in "fo":
+        (tmp_path / kind).mkdir()
+    shape = jobs.packed_members if pack else lambda df: df
+    given = lambda rows: shape(spark.createDataFrame(list(rows), FORECASTS)).coalesce(1)
+    forecasts = spark.readStream.schema(given(forecast(0)).schema).parquet(str(tmp_path / "f"))
+    observations = spark.readStream.schema(TARGETS).parquet(str(tmp_path / "o"))
+
+    def deliver(f=(), o=()):
+        if f:
+            given(f).write.mode("append").parquet(str(tmp_path / "f"))
+        if o:
+            spark.createDataFrame(list(o), TARGETS).coalesce(1).write.mode("append").parquet(str(tmp_path / "o"))
+        jobs.run_scoring(forecasts, observations, str(tmp_path / "log"), str(tmp_path / "position"), "10 days")
+        scores = jobs.current_scores(spark.read.parquet(str(tmp_path / "log"))).collect()
+        return {(r["model_id"], (r["datetime"] - DAY).days): (r["observation"], round(r["crps"], 6)) for r in scores}
+
+    def deliver_observed(f=(), o=()):
+        return {k: v[0] for k, v in deliver(f, o).items()}
+
+    first = deliver_observed([*forecast(0), *forecast(1), *forecast(40), *forecast(41)], [observed(0, 2.0), observed(40, 1.0), observed(41, 1.0)])
+    assert first == {("m", 0): 2.0, ("m", 40): 1.0, ("m", 41): 1.0}
+    # forty days late: a forecast whose observation was there, a first observation, and neither before
+    whole = first | {("late", 0): 2.0}
+    assert deliver_observed(f=[*forecast(0, model="late", shift=1.0), *forecast(0, lead=36, model="far")]) == whole
+    whole |= {("m", 1): 5.0}
+    assert deliver_observed(o=[observed(1, 5.0)]) == whole
+    whole |= {("late", 2): 4.0}
+    assert deliver_observed(forecast(2, model="late"), [observed(2, 4.0), observed(2, None)]) == whole
+    # a revision that late scores what was scored before, early or late
+    whole |= {("m", 0): 9.0, ("late", 0): 9.0}
+    assert deliver_observed(o=[observed(0, 9.0)]) == whole
+    # as early ones, with all their members; nothing late is scored twice
+    assert deliver()["late", 0] == (9.0, pytest.approx(9 - 3 - 4 / 9, abs=1e-6))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert log.where("model_id = 'late'").groupBy("datetime").count().agg(F.sum("count")).first()[0] == 3
+
+
+def test_a_score_run_that_broke_off_leaves_nothing_out(spark, tmp_path, monkeypatch):
+    for kind in "fo":
+        (tmp_path / kind).mkdir()
+    forecasts = spark.readStream.schema(FORECASTS).parquet(str(tmp_path / "f"))
+    observations = spark.readStream.schema(TARGETS).parquet(str(tmp_path / "o"))
+    run = lambda: jobs.run_scoring(forecasts, observations, str(tmp_path / "log"), str(tmp_path / "position"), "10 days")
+    spark.createDataFrame(forecast(0) + forecast(40), FORECASTS).write.mode("append").parquet(str(tmp_path / "f"))
+    spark.createDataFrame([observed(40, 1.0)], TARGETS).write.mode("append").parquet(str(tmp_path / "o"))
+    run()
+    spark.createDataFrame([observed(0, 2.0)], TARGETS).write.mode("append").parquet(str(tmp_path / "o"))
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "scored_late", lambda *a: (_ for _ in ()).throw(OSError("broken off")))
+        with pytest.raises(OSError, match="broken off"):
+            run()
+    run()
+    scores = jobs.current_scores(spark.read.parquet(str(tmp_path / "log")))
+    assert sorted(r["observation"] for r in scores.collect()) == [1.0, 2.0]
+
+
+def test_an_hourly_forecast_is_scored_however_far_ahead(spark, tmp_path):
+    for kind in "fo":
+        (tmp_path / kind).mkdir()
+    hourly = lambda rows, schema: spark.createDataFrame(rows, schema).withColumn("duration", F.lit("PT1H"))
+    hourly(forecast(0, lead=500), FORECASTS).write.mode("append").parquet(str(tmp_path / "f"))
+    hourly([observed(0, 2.0)], TARGETS).write.mode("append").parquet(str(tmp_path / "o"))
+    forecasts = spark.readStream.schema(FORECASTS).parquet(str(tmp_path / "f"))
+    observations = spark.readStream.schema(TARGETS).parquet(str(tmp_path / "o"))
+    jobs.run_scoring(forecasts, observations, str(tmp_path / "log"), str(tmp_path / "position"))
+    assert jobs.current_scores(spark.read.parquet(str(tmp_path / "log"))).count() == 1
